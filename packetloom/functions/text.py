@@ -14,27 +14,41 @@ def _dotted(raw: Column) -> Column:
     return F.concat_ws(".", *[uint(raw, i, 1).cast("string") for i in range(4)])
 
 
+# Runs of zero groups in a colon-fenced address, longest first.
+ZERO_RUNS = [":0" * run + ":" for run in range(8, 1, -1)]
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def _colon_groups(raw: Column) -> Column:
     """RFC 5952 text: lower-case groups, the first longest run of two or more zero groups as ``::``."""
-    groups = [F.lower(F.conv(F.hex(span(raw, 2 * i, 2)), 16, 16)) for i in range(8)]
-    fenced = F.concat(F.lit(":"), F.concat_ws(":", *groups), F.lit(":"))
-    text = F.btrim(fenced, F.lit(":"))
-    for run in range(2, 9):  # longer runs end up as outer, first-tested branches
-        zeros = ":0" * run + ":"
-        at = F.locate(zeros, fenced)
-        head = F.ltrim(F.substring(fenced, F.lit(1), at - 1), F.lit(":"))
-        tail = F.rtrim(F.substring(fenced, at + len(zeros), F.length(fenced)), F.lit(":"))
-        text = F.when(at > 0, F.concat(head, F.lit("::"), tail)).otherwise(text)
-    return text
+    groups = F.transform(F.sequence(F.lit(0), F.lit(7)),
+                         lambda i: F.lower(F.conv(F.hex(span(raw, i * 2, 2)), 16, 16)))
+
+    def shorten(fenced):
+        def cut(run):
+            at = F.instr(fenced, run)
+            head = F.ltrim(F.substring(fenced, F.lit(1), at - 1), F.lit(":"))
+            tail = F.rtrim(F.substring(fenced, at + F.length(run), F.length(fenced)), F.lit(":"))
+            return F.coalesce(F.concat(head, F.lit("::"), tail), F.btrim(fenced, F.lit(":")))
+        runs = F.array(*[F.lit(z) for z in ZERO_RUNS])
+        return _let(F.get(F.filter(runs, lambda z: F.instr(fenced, z) > 0), 0), cut)
+
+    return _let(F.concat(F.lit(":"), F.array_join(groups, ":"), F.lit(":")), shorten)
 
 
 def ip_text(raw: Column) -> Column:
-    """Address bytes as text: dotted for 4 bytes and v4-mapped, RFC 5952 for 16, ``<nil>`` for none."""
+    """Address bytes as text: dotted for 4 bytes and v4-mapped, RFC 5952 for 16, ``<nil>`` for none.
+
+    The long form sits in lambdas, which keeps the generated code of the common 4-byte form small.
+    """
     n = F.octet_length(raw)
-    return (F.when(n == 4, _dotted(raw))
-            .when((n == 16) & (span(raw, 0, 12) == F.lit(V4_MAPPED)), _dotted(span(raw, 12, 4)))
-            .when(n == 16, _colon_groups(raw))
-            .when(n == 0, F.lit("<nil>"))
+    wide = _let(raw, lambda b: F.when(span(b, 0, 12) == F.lit(V4_MAPPED), _dotted(span(b, 12, 4))).otherwise(
+        _colon_groups(b)))
+    return (F.when(n == 4, _dotted(raw)).when(n == 16, wide).when(n == 0, F.lit("<nil>"))
             .otherwise(F.concat(F.lit("?"), F.lower(F.hex(raw)))))
 
 

@@ -53,6 +53,15 @@ def total_length(fields: Column) -> Column:
     return F.aggregate(fields, F.lit(0).cast("bigint"), lambda acc, f: acc + f["length"])
 
 
+def place_fields(fields: str, start: str) -> Column:
+    """Fields with the offset each one has in a record, from SQL names of the array and its first offset."""
+    return F.expr(f"""
+        aggregate({fields}, named_struct('at', cast({start} as bigint), 'out', cast(array() as array<{_PLACED}>)),
+            (acc, f) -> named_struct('at', acc.at + f.length, 'out', array_append(
+                acc.out, named_struct('type', f.type, 'length', f.length, 'at', acc.at))),
+            acc -> acc.out)""")
+
+
 # How a slot is picked: the ids that fill it, the bytes of the value it keeps, the widest field it accepts.
 _ANY_WIDTH = 1 << 20
 _PICKS = ([(ids, width, MAX_NUMBER_BYTES) for ids, width in NUMBER_SLOTS.values()]
@@ -108,11 +117,8 @@ def with_layout(templates: DataFrame) -> DataFrame:
     picked = _last("array_contains(x.ids, f.type) AND f.length <= x.widest")
     others = ", ".join([_icmp_slot(ICMP_TYPE, 2), _icmp_slot(ICMP_CODE, 1), _time_slot(0, UPTIME_START),
                         _time_slot(1, UPTIME_END)])
-    placed = templates.withColumn("_scope_size", total_length(F.col("scopes"))).withColumn("placed", F.expr(f"""
-        aggregate(fields, named_struct('at', _scope_size, 'out', cast(array() as array<{_PLACED}>)),
-            (acc, f) -> named_struct('at', acc.at + f.length, 'out', array_append(
-                acc.out, named_struct('type', f.type, 'length', f.length, 'at', acc.at))),
-            acc -> acc.out)"""))
+    placed = templates.withColumn("_scope_size", total_length(F.col("scopes"))).withColumn(
+        "placed", place_fields("fields", "_scope_size"))
     family = _last(f"f.type IN {_ids(V4_FIELDS + V6_FIELDS)}") + ".type"
     layout = F.expr(f"""named_struct(
         'kind', kind, 'size', _scope_size + aggregate(fields, 0L, (acc, f) -> acc + f.length),
