@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from packetloom.functions.text import ip_text
 from packetloom.operators.netflow_state import record_count
 from packetloom.operators.sflow import SAMPLE_NAMES
+from packetloom.plans.tables import unnest
 from packetloom.schema import IPFIX, NETFLOW_V9
 from packetloom.sources.packets import CHANNEL_PORT, router_key
 
@@ -59,12 +60,14 @@ def netflow_sets(resolved: DataFrame, v5_headers: DataFrame | None = None, compa
     v5 has no sets: its declared record counts are added to the sets of type ``DataFlowSet``.
     ``compat_labels`` books the records of v9 template sets under ``OptionsTemplateFlowSet``.
     """
-    ok = resolved.where("error IS NULL")
-    announced = ok.select("router", "version", F.explode("sets").alias("s"), "announced").where("s.id < 256").select(
+    def accepted(items):
+        return F.when(F.col("error").isNull(), F.col(items))
+
+    announced = unnest(resolved, ["router", "version", "announced"], accepted("sets"), "s").where("s.id < 256").select(
         "router", "version", F.when(F.col("s.id").isin(0, 2), "TemplateFlowSet").otherwise(
             "OptionsTemplateFlowSet").alias("type"),
         F.size(F.filter("announced", lambda a: a["set_idx"] == F.col("s.idx"))).alias("records"))
-    data = ok.select("router", "version", F.explode("rsets").alias("s")).select(
+    data = unnest(resolved, ["router", "version"], accepted("rsets"), "s").select(
         "router", "version", F.when(F.col("s.layout.kind") == "data", "DataFlowSet").otherwise(
             "OptionsDataFlowSet").alias("type"), record_count(F.col("s")).alias("records"))
     rows = announced.unionByName(data).withColumn("sets", F.lit(1))
@@ -95,7 +98,7 @@ def delay(flows: DataFrame) -> DataFrame:
 
 def template_counts(resolved: DataFrame) -> DataFrame:
     """Templates announced, also in packets rejected by a later set."""
-    rows = resolved.select("router", "version", "domain", "error_idx", F.explode("announced").alias("a")).where(
+    rows = unnest(resolved, ["router", "version", "domain", "error_idx"], F.col("announced"), "a").where(
         F.col("error_idx").isNull() | (F.col("a.set_idx") < F.col("error_idx")))
     return rows.groupBy(
         "router", "version", F.col("domain").alias("obs_domain_id"), F.col("a.template_id").alias("template_id"),

@@ -9,7 +9,7 @@ from packetloom.operators.layout import ADDRESS_SLOTS, ICMP_SLOTS, NUMBER_SLOTS,
 from packetloom.operators.netflow_sets import frame
 from packetloom.operators.netflow_state import (attach_sampling, record_count, resolve_sets, sampling_timeline,
                                                 template_timeline, unlearnt_announcements)
-from packetloom.plans.tables import settle
+from packetloom.plans.tables import settle, unnest
 from packetloom.schema import IPFIX, NETFLOW_V9, PROVENANCE, to_flow_columns
 
 PACKET_COLUMNS = ["packet_id", "router", "version", "domain", "t", "received", "sampler", "uptime", "base_time",
@@ -18,9 +18,8 @@ PACKET_COLUMNS = ["packet_id", "router", "version", "domain", "t", "received", "
 
 def explode_records(resolved: DataFrame, kind: str, keep: list[str]) -> DataFrame:
     """One row per record of the accepted packets' sets of a kind: ``rec`` holds the record's bytes."""
-    accepted = resolved.where(F.col("error").isNull())
-    sets = accepted.select(*keep, "payload", F.explode(
-        F.filter("rsets", lambda s: (s["layout"]["kind"] == kind) & (record_count(s) > 0))).alias("s"))
+    wanted = F.filter("rsets", lambda s: (s["layout"]["kind"] == kind) & (record_count(s) > 0))
+    sets = unnest(resolved, [*keep, "payload"], F.when(F.col("error").isNull(), wanted), "s")
     rows = sets.select("*", F.explode(F.sequence(F.lit(0), record_count(F.col("s")) - 1)).alias("rec_idx"))
     size = F.col("s.layout.size")
     return rows.select(*keep, F.col("s.idx").alias("set_idx"), F.col("s.id").alias("template_id"), "rec_idx",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from packetloom.functions.binary import span, uint
+from packetloom.plans.tables import unnest
 from packetloom.sources.packets import received_second, router_key, sampler_address
 
 HEADER_BYTES = {9: 20, 10: 16}
@@ -153,7 +154,7 @@ def data_sets(framed: DataFrame) -> DataFrame:
 
 
 def _sets_where(framed: DataFrame, keep: Column) -> DataFrame:
-    rows = framed.select("packet_id", "router", "version", "domain", "t", "payload", F.explode("sets").alias("set"))
+    rows = unnest(framed, ["packet_id", "router", "version", "domain", "t", "payload"], F.col("sets"), "set")
     return rows.where(keep).select(
         "packet_id", "router", "version", "domain", "t", "set.idx", "set.id",
         span(F.col("payload"), F.col("set.pos"), F.col("set.len")).alias("body"))

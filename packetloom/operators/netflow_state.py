@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from packetloom.functions.binary import uint
 from packetloom.operators.layout import slot_at, slot_length, with_layout
-from packetloom.plans.tables import join_small, settle
+from packetloom.plans.tables import join_small, settle, unnest
 
 KEY = ["router", "version", "domain"]
 ORDER = ["t", "packet_id", "set_idx", "rec_idx"]
@@ -22,8 +22,7 @@ ENTRY_BYTES = 1024
 
 def announcements(framed: DataFrame) -> DataFrame:
     """Template history: one row per announced template, in the order (t, packet_id, set_idx, rec_idx)."""
-    return framed.select(*KEY, "t", "packet_id", F.explode("announced").alias("a")).select(
-        *KEY, "t", "packet_id", "a.*")
+    return unnest(framed, [*KEY, "t", "packet_id"], F.col("announced"), "a").select(*KEY, "t", "packet_id", "a.*")
 
 
 def changes(history: DataFrame, keys: list[str], value: list[str], order: list[str]) -> DataFrame:
@@ -120,8 +119,8 @@ def own_sampling_rate() -> Column:
 
 def sampling_changes(resolved: DataFrame, seed: DataFrame | None = None) -> DataFrame:
     """Sampling-rate changes told by accepted packets: KEY, t, packet_id, rate."""
-    told = resolved.where(F.col("error").isNull() & F.col("own_rate").isNotNull()).select(
-        *KEY, "t", "packet_id", F.col("own_rate").alias("rate"))
+    rate = F.when(F.col("error").isNull() & F.col("own_rate").isNotNull(), F.array("own_rate"))
+    told = unnest(resolved, [*KEY, "t", "packet_id"], rate, "rate")
     if seed is not None:
         told = told.unionByName(seed)
     return changes(told, KEY, ["rate"], ["t", "packet_id"])

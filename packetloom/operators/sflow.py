@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from packetloom.functions.binary import span
 from packetloom.operators.netflow_sets import sql_empty, sql_let, sql_uint
+from packetloom.plans.tables import unnest
 from packetloom.sources.packets import received_second, router_key
 
 # Limits of a 65,535-byte datagram.
@@ -33,22 +34,50 @@ ETHERNET_COUNTERS = [(f"Dot3Stats{name}", 4) for name in (
 _ITEM = "struct<idx:int,fmt:bigint,pos:int,len:int>"
 
 
-def _walk_items(start: str, end: str, count: str) -> str:
-    """SQL: ``{format u32, length u32, body}`` items from a position, at most ``count`` of them.
+UNROLLED = 4
 
-    Stops where fewer than eight bytes are left or an item claims more than is left.
-    """
+
+def _walk_rest(start: str, end: str, count: str) -> str:
+    """SQL: ``{format u32, length u32, body}`` items from a position on, behind the unrolled ones."""
     take = f"""IF(h.len > {end} - acc.pos - 8,
         named_struct('pos', acc.pos, 'going', false, 'items', acc.items),
         named_struct('pos', acc.pos + 8 + cast(h.len as int), 'going', true, 'items', array_append(
-            acc.items, named_struct('idx', size(acc.items), 'fmt', h.fmt, 'pos', acc.pos + 8,
+            acc.items, named_struct('idx', {UNROLLED} + size(acc.items), 'fmt', h.fmt, 'pos', acc.pos + 8,
                                     'len', cast(h.len as int)))))"""
     head = f"named_struct('fmt', {sql_uint('acc.pos', 4)}, 'len', {sql_uint('acc.pos + 4', 4)})"
-    most = f"cast(least({count}, cast(greatest({end} - ({start}), 0) div 8 as bigint)) as int)"
-    return f"""IF({most} > 0, aggregate(sequence(1, {most}),
+    most = f"cast(least({count} - {UNROLLED}, cast(greatest({end} - {start}, 0) div 8 as bigint)) as int)"
+    return f"""aggregate(sequence(1, {most}),
         named_struct('pos', {start}, 'going', true, 'items', {sql_empty(_ITEM)}),
         (acc, i) -> CASE WHEN acc.going AND {end} - acc.pos >= 8 THEN {sql_let("h", head, take)} ELSE acc END,
-        acc -> acc.items), {sql_empty(_ITEM)})"""
+        acc -> acc.items)"""
+
+
+def walk_items(df: DataFrame, start: str, end: str, count: str, name: str) -> DataFrame:
+    """Add ``name``: the items from ``start`` to ``end``, at most ``count`` of them.
+
+    The walk stops where fewer than eight bytes are left or an item claims more than is left. The first items
+    are read by plain columns, which run in generated code; a fold is entered only for packets with more.
+    """
+    at, word = f"{name}_p{{}}", f"{name}_w{{}}"
+    df = df.selectExpr("*", f"CASE WHEN {count} > 0 AND {end} - ({start}) >= 8 THEN {start} END AS {at.format(0)}")
+    for k in range(UNROLLED):
+        p, w, after = at.format(k), word.format(k), at.format(k + 1)
+        df = df.selectExpr("*", f"cast(conv(hex(substring(payload, {p} + 1, 8)), 16, -10) as bigint) AS {w}")
+        # the next position; -1 once an item has claimed too much
+        df = df.selectExpr("*", f"""CASE WHEN {p} IS NULL OR {p} < 0 THEN {p}
+            WHEN ({w} & 4294967295L) > {end} - {p} - 8 THEN -1 ELSE {p} + 8 + cast({w} & 4294967295L as int) END
+            AS {name}_n{k}""")
+        df = df.selectExpr("*", f"""CASE WHEN {name}_n{k} < 0 THEN -1
+            WHEN {count} > {k + 1} AND {end} - {name}_n{k} >= 8 THEN {name}_n{k} END AS {after}""")
+    items = ", ".join(f"""named_struct('idx', {k}, 'fmt', shiftrightunsigned({word.format(k)}, 32), 'pos', {at.format(k)} + 8,
+        'len', cast({word.format(k)} & 4294967295L as int))""" for k in range(UNROLLED))
+    held = " + ".join(f"IF({at.format(k)} >= 0 AND {name}_n{k} >= 0, 1, 0)" for k in range(UNROLLED))
+    last = at.format(UNROLLED)
+    df = df.selectExpr("*", f"""IF({at.format(0)} IS NULL, {sql_empty(_ITEM)}, slice(array({items}), 1, {held})) AS {name}_few""")
+    df = df.selectExpr("*", f"""IF({last} >= 0, concat({name}_few, {_walk_rest(last, end, count)}), {name}_few) AS {name}""")
+    helpers = [f"{name}_few", *[f"{name}_n{k}" for k in range(UNROLLED)], *[word.format(k) for k in range(UNROLLED)],
+               *[at.format(k) for k in range(UNROLLED + 1)]]
+    return df.drop(*helpers)
 
 
 def read_headers(packets: DataFrame) -> DataFrame:
@@ -64,8 +93,7 @@ def read_headers(packets: DataFrame) -> DataFrame:
         "*", "substring(payload, 9, base - 8) AS agent", f"{sql_uint('base', 4)} AS sub_agent",
         f"{sql_uint('base + 4', 4)} AS sequence", f"{sql_uint('base + 8', 4)} AS uptime",
         f"IF(error IS NULL, {sql_uint('base + 12', 4)}, 0L) AS sample_count")
-    return head.withColumn("samples", F.expr(f"""IF(error IS NULL,
-        {_walk_items('base + 16', n, 'sample_count')}, {sql_empty(_ITEM)})""")).drop("base", "ip_version")
+    return walk_items(head, "base + 16", n, "sample_count", "samples").drop("base", "ip_version")
 
 
 PACKET_COLUMNS = ["packet_id", "router", "received", "agent", "sequence", "payload"]
@@ -73,7 +101,7 @@ PACKET_COLUMNS = ["packet_id", "router", "received", "agent", "sequence", "paylo
 
 def read_samples(headers: DataFrame) -> DataFrame:
     """One row per framed sample, with its header fields, its records and whether it could be decoded."""
-    rows = headers.select(*PACKET_COLUMNS, F.explode("samples").alias("s")).selectExpr(
+    rows = unnest(headers, PACKET_COLUMNS, F.col("samples"), "s").selectExpr(
         *PACKET_COLUMNS, "s.idx AS sample_idx", "s.fmt AS format", "s.pos AS pos", "s.len AS len",
         "s.pos + s.len AS sample_end", "s.pos + IF(s.fmt IN (1, 2), 8, 12) AS at",
         "s.len - IF(s.fmt IN (1, 2), 8, 12) AS left")
@@ -98,9 +126,9 @@ def read_samples(headers: DataFrame) -> DataFrame:
         f"{sql_uint('at + fixed - 4', 4)} AS record_count")
     rows = rows.withColumn("decoded", F.expr(f"""whole AND NOT (format = 1 AND record_count > {MAX_FLOW_RECORDS})
         AND NOT (format IN (2, 4) AND record_count > {MAX_COUNTER_RECORDS})""")).drop("whole")
-    return rows.withColumn("records", F.expr(
-        f"IF(decoded, {_walk_items('records_at', 'sample_end', 'record_count')}, {sql_empty(_ITEM)})")).drop(
-        "records_at", "sample_end")
+    rows = rows.withColumn("walkable", F.expr("IF(decoded, record_count, 0L)"))
+    return walk_items(rows, "records_at", "sample_end", "walkable", "records").drop(
+        "records_at", "sample_end", "walkable")
 
 
 def flow_samples(samples: DataFrame) -> DataFrame:
@@ -112,25 +140,22 @@ def counter_samples(samples: DataFrame) -> DataFrame:
     return samples.where(F.col("decoded") & F.col("format").isin(COUNTER_SAMPLE, EXPANDED_COUNTER_SAMPLE))
 
 
-def sql_gateway(pos: str, length: str) -> str:
-    """SQL: positions and guards of an extended-gateway record as a struct; ``ok`` is false where it is cut.
+def read_gateway(df: DataFrame, pos: str, length: str, g: str) -> DataFrame:
+    """Add the guarded positions of an extended-gateway record at ``pos`` as columns with prefix ``g``.
 
     Path and community counts are checked against the bytes left less four, then against their own bytes.
-    Only the first path segment is read.
+    Only the first path segment is read. ``{g}ok`` is false, or null, where the record is cut or absent.
     """
-    base = f"""named_struct('a', CASE {sql_uint(pos, 4)} WHEN 1 THEN 8 WHEN 2 THEN 20 ELSE 1000000 END)"""
-    seg = f"""named_struct('a', g.a, 'has_path', {sql_uint(f'{pos} + g.a + 12', 4)} <> 0,
-        'n', {sql_uint(f'{pos} + g.a + 20', 4)}, 'ok', {length} >= g.a + 16)"""
-    path = f"""named_struct('a', g.a, 'n', IF(g.has_path, g.n, 0L), 'path', g.a + 24,
-        'c', IF(g.has_path, g.a + 24 + 4 * least(g.n, {MAX_PATH}L), g.a + 16L),
-        'ok', g.ok AND (NOT g.has_path OR ({length} >= g.a + 24 AND g.n <= {length} - g.a - 28
-              AND g.n <= {MAX_PATH} AND 4 * g.n <= {length} - g.a - 24)))"""
-    com = f"""named_struct('a', g.a, 'n', g.n, 'path', g.path, 'c', cast(g.c as int), 'ok', g.ok,
-        'm', {sql_uint(f'{pos} + cast(g.c as int)', 4)})"""
-    end = f"""named_struct('a', {pos} + g.a, 'n', g.n, 'path', {pos} + g.path, 'm', g.m, 'communities', {pos} + g.c + 4,
-        'ok', g.ok AND {length} >= g.c + 4 AND g.m <= {length} - g.c - 8 AND g.m <= {MAX_COMMUNITIES}
-              AND 4 * g.m + 4 <= {length} - g.c - 4)"""
-    return sql_let("g", base, sql_let("g", seg, sql_let("g", path, sql_let("g", com, end))))
+    df = df.selectExpr("*", f"CASE {sql_uint(pos, 4)} WHEN 1 THEN 8 WHEN 2 THEN 20 END AS {g}a")
+    df = df.selectExpr("*", f"{length} >= {g}a + 16 AS {g}whole", f"{sql_uint(f'{pos} + {g}a + 12', 4)} <> 0 AS {g}path")
+    df = df.selectExpr("*", f"IF({g}path, {sql_uint(f'{pos} + {g}a + 20', 4)}, 0L) AS {g}n")
+    df = df.selectExpr(
+        "*", f"cast(IF({g}path, {g}a + 24 + 4 * least({g}n, {MAX_PATH}L), {g}a + 16L) as int) AS {g}c",
+        f"""{g}whole AND (NOT {g}path OR ({length} >= {g}a + 24 AND {g}n <= {length} - {g}a - 28 AND {g}n <= {MAX_PATH}
+            AND 4 * {g}n <= {length} - {g}a - 24)) AS {g}path_ok""")
+    df = df.selectExpr("*", f"{sql_uint(f'{pos} + {g}c', 4)} AS {g}m")
+    return df.selectExpr("*", f"""{g}path_ok AND {length} >= {g}c + 4 AND {g}m <= {length} - {g}c - 8
+        AND {g}m <= {MAX_COMMUNITIES} AND 4 * {g}m + 4 <= {length} - {g}c - 4 AS {g}ok""")
 
 
 def _u32_list(pos: str, count: str) -> str:
@@ -149,9 +174,10 @@ def flow_records(samples: DataFrame) -> DataFrame:
     Records that cannot be decoded (cut short, unknown format) have every struct null.
     """
     keys = ["packet_id", "router", "agent", "sequence", "sample_idx", "format", "sampling_rate"]
-    rows = flow_samples(samples).select(*keys, "payload", F.explode("records").alias("r")).selectExpr(
+    rows = unnest(flow_samples(samples), [*keys, "payload"], F.col("records"), "r").selectExpr(
         *keys, "payload", "r.idx AS record_idx", "r.fmt AS record_format", "r.len AS record_length", "r.pos AS p",
-        f"IF(r.fmt = {GATEWAY}, {sql_gateway('r.pos', 'r.len')}, null) AS g")
+        f"CASE WHEN r.fmt = {GATEWAY} THEN r.pos END AS gp")
+    rows = read_gateway(rows, "gp", "record_length", "g_")
     fmt, n = "record_format", "record_length"
 
     def u(offset):
@@ -175,16 +201,16 @@ def flow_records(samples: DataFrame) -> DataFrame:
             'dst_vlan', {u(8)}, 'dst_priority', {u(12)}), null) AS switch""",
         f"""IF({fmt} = {ROUTER} AND {u(0)} IN (1, 2) AND {n} >= {nh} + 8, named_struct(
             'next_hop', {sql_address('p')}, 'src_mask_len', {u(nh)}, 'dst_mask_len', {u(nh + ' + 4')}), null) AS router_ext""",
-        f"""IF(g.ok, named_struct('next_hop', {sql_address('p')}, 'as', {sql_uint('g.a', 4)},
-            'src_as', {sql_uint('g.a + 4', 4)}, 'src_peer_as', {sql_uint('g.a + 8', 4)},
-            'as_path', {_u32_list('g.path', 'g.n')}, 'communities', {_u32_list('g.communities', 'g.m')},
-            'local_pref', {sql_uint('g.communities + 4 * cast(g.m as int)', 4)}), null) AS gateway""")
+        f"""IF(g_ok, named_struct('next_hop', {sql_address('p')}, 'as', {sql_uint('p + g_a', 4)},
+            'src_as', {sql_uint('p + g_a + 4', 4)}, 'src_peer_as', {sql_uint('p + g_a + 8', 4)},
+            'as_path', {_u32_list('p + g_a + 24', 'g_n')}, 'communities', {_u32_list('p + g_c + 4', 'g_m')},
+            'local_pref', {sql_uint('p + g_c + 4 + 4 * cast(g_m as int)', 4)}), null) AS gateway""")
 
 
 def _counters(samples: DataFrame, fmt: int, layout: list[tuple[str, int]]) -> DataFrame:
     keys = ["packet_id", "router", "agent", "sequence", "received", "sample_idx", "sample_sequence", "source_type",
             "source_id"]
-    rows = counter_samples(samples).select(*keys, "payload", F.explode("records").alias("r")).where(f"r.fmt = {fmt}")
+    rows = unnest(counter_samples(samples), [*keys, "payload"], F.col("records"), "r").where(f"r.fmt = {fmt}")
     size = sum(n for _, n in layout)
     # a record cut short is reported with all counters zero
     rows = rows.select(*keys, F.col("r.idx").alias("record_idx"), F.when(

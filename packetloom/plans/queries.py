@@ -329,8 +329,8 @@ def _(spark, sf_dir):
     return rows.select("switch.*")
 
 
-frame_query("sflow_hdr_vlan", SF_BASE | L4 | HEADER4 | {"VlanId": "ln * 8192 + sk % 4096", "SrcMac": "281135903058788",
-                                                        "DstMac": "1095525512475"},
+frame_query("sflow_hdr_vlan", SF_BASE | L4 | HEADER4 | {"VlanId": "ln * 8192 + sk % 4096", "SrcMac": str(int(rt.MACS[12:], 16)),
+                                                        "DstMac": str(int(rt.MACS[:12], 16))},
             lambda: rt.ethernet_hex(0x8100, rt.be_hex(F.col("ln") * 8192 + F.col("sk") % 4096, 2), F.lit("0800"), plain4()))
 
 
@@ -658,14 +658,15 @@ def _(spark, sf_dir):
     return late.select("event_id", F.unix_micros("event_time").alias("event_us"))
 
 
-@register("as_port_grouping_sets", f"""{LI} SELECT CASE WHEN grouping(a) = 0 THEN a END AS SrcAS,
-    CASE WHEN grouping(p) = 0 THEN p END AS DstPort, CASE WHEN grouping(r) = 0 THEN r END AS router,
+@register("as_port_grouping_sets", f"""{LI} SELECT CASE WHEN grouping(a) = 0 THEN a ELSE -1 END AS SrcAS,
+    CASE WHEN grouping(p) = 0 THEN p ELSE -1 END AS DstPort, CASE WHEN grouping(r) = 0 THEN r ELSE 'all' END AS router,
     CAST(sum(b) AS BIGINT) AS bytes, count(*) AS flows
     FROM (SELECT {big(SRC_AS)} AS a, {big(DPORT)} AS p, {EXPORTER} AS r, octets * 100 AS b FROM li)
     GROUP BY GROUPING SETS ((a, r), (a), (p, r), (p))""")
 def _(spark, sf_dir):
     rows = analytics.as_port_volumes(v5_flows(spark, sf_dir))
-    return rows.select("SrcAS", "DstPort", ip_text(F.col("SamplerAddress")).alias("router"),
+    return rows.select(F.coalesce("SrcAS", F.lit(-1)).alias("SrcAS"), F.coalesce("DstPort", F.lit(-1)).alias("DstPort"),
+                       F.coalesce(ip_text(F.col("SamplerAddress")), F.lit("all")).alias("router"),
                        F.col("bytes").cast("bigint").alias("bytes"), "flows")
 
 

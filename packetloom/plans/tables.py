@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, functions as F
 BROADCAST_BYTES = 64 << 20
 
 
+def unnest(df: DataFrame, keep: list, items, name: str) -> DataFrame:
+    """One row per array item. Unlike a plain ``explode`` this lets no size test on the array be derived and
+    pushed below the projection that computes it, where it would compute the array a second time."""
+    return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage, in the folder ``spark.checkpoint.dir`` names.
 
