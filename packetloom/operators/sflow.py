@@ -158,6 +158,18 @@ def read_gateway(df: DataFrame, pos: str, length: str, g: str) -> DataFrame:
         AND {g}m <= {MAX_COMMUNITIES} AND 4 * {g}m + 4 <= {length} - {g}c - 4 AS {g}ok""")
 
 
+def sql_gateway_ok(pos: str, length: str) -> str:
+    """SQL: the ``ok`` of ``read_gateway`` as one expression, for use inside a lambda."""
+    communities = sql_let("m", sql_uint(f"{pos} + c", 4), f"""{length} >= c + 4 AND m <= {length} - c - 8
+        AND m <= {MAX_COMMUNITIES} AND 4 * m + 4 <= {length} - c - 4""")
+    path = f"""{length} >= a + 16 AND (n < 0 OR ({length} >= a + 24 AND n <= {length} - a - 28 AND n <= {MAX_PATH}
+        AND 4 * n <= {length} - a - 24))"""
+    after = f"cast(IF(n < 0, a + 16L, a + 24 + 4 * least(n, {MAX_PATH}L)) as int)"
+    count = f"IF({sql_uint(f'{pos} + a + 12', 4)} <> 0, {sql_uint(f'{pos} + a + 20', 4)}, -1L)"
+    return sql_let("a", f"CASE {sql_uint(pos, 4)} WHEN 1 THEN 8 WHEN 2 THEN 20 END", sql_let(
+        "n", count, f"({path}) AND {sql_let('c', after, communities)}"))
+
+
 def _u32_list(pos: str, count: str) -> str:
     return (f"IF({count} > 0, transform(sequence(0, cast({count} as int) - 1), i -> {sql_uint(f'{pos} + 4 * i', 4)}), "
             "cast(array() as array<bigint>))")

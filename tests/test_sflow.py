@@ -132,6 +132,10 @@ def test_records_fold_in_order(spark):
         ([gateway(v4("8.8.8.8"), 1, 2, [5]), router(v4("9.9.9.9"), 24, 16)], {"NextHop": "9.9.9.9", "DstAS": 5}),
         ([router(v4("9.9.9.9"), 24, 16), gateway(v4("8.8.8.8"), 1, 2, [5])], {"NextHop": "8.8.8.8", "SrcNet": 24}),
         ([gateway(v4("8.8.8.8"), 1, 2, [5], path_length=400)], {"NextHop": "<nil>", "DstAS": 0}),
+        ([gateway(v4("8.8.8.8"), 1, 2, [5]), gateway(v4("7.7.7.7"), 3, 4, [6], path_length=400)],
+         {"NextHop": "8.8.8.8", "DstAS": 5, "SrcAS": 1}),
+        ([gateway(v4("8.8.8.8"), 1, 2, [5]), gateway(v4("7.7.7.7"), 3, 4, [])], {"NextHop": "7.7.7.7", "DstAS": 3}),
+        ([switch(n, n) for n in range(1, 7)], {"SrcVlan": 6}),           # more records than are unrolled
         ([tlv(1001, b"short"), switch(5, 6)], {"SrcVlan": 5}),           # a cut record is skipped
         ([tlv(77, bytes(20)), switch(5, 6)], {"SrcVlan": 5}),            # so is an unknown one
         ([tlv(1001, bytes(16), length=999), switch(5, 6)], {"SrcVlan": 0, "Packets": 1}),  # an overlong one ends the sample
@@ -150,9 +154,11 @@ def test_samples(spark):
         [tlv(1, bytes(40), length=5000), vlan],       # claims more than there is: the rest is not read
     ]
     got = flows(spark, [datagram(*c) for c in cases] + [datagram(vlan, vlan, count=1), datagram(vlan, count=2**32 - 1),
-                                                        datagram(vlan, agent=bytes(15) + b"\x07")])
+                                                        datagram(vlan, agent=bytes(15) + b"\x07"),
+                                                        datagram(*[flow_sample(switch(9, 9), in_if=n) for n in range(7)])])
     check(got, [{"SrcVlan": 30, "InIf": 1_000_100, "OutIf": 1_000_018, "SamplingRate": 16_383}, {"SrcVlan": 5},
-                {"SrcVlan": 5}, {"SrcVlan": 5}, {"SrcVlan": 5}, {"SrcVlan": 5}, {"SamplerAddress": "::7"}])
+                {"SrcVlan": 5}, {"SrcVlan": 5}, {"SrcVlan": 5}, {"SrcVlan": 5}, {"SamplerAddress": "::7"},
+                *[{"SrcVlan": 9, "InIf": n} for n in range(7)]])
 
 
 def test_packet_errors(spark):
