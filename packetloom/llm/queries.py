@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from packetloom.llm.hilbert import hilbert_shards
 from packetloom.llm.jaccard_join import jaccard_components
+from packetloom.llm.substring_dedup import repeated_passages
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +23,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    return repeated_passages(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query
 def op8_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_hilbert_sharding(spark, sf_dir):
+    shards = hilbert_shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
+    return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
