@@ -2,8 +2,8 @@
 
 Batches of documents (a few megabytes of text) send their distinct keys, packed and split by key range, to the task of
 each range; that task answers every batch for its own keys; the answers meet the documents again by batch. So a key
-costs its eight bytes once per batch instead of a row per occurrence, a key that is everywhere arrives once per batch,
-and no task holds more than its range, whose width follows the size of the corpus.
+costs four to six bytes once per batch instead of a row per occurrence, a key that is everywhere arrives once per
+batch, and no task holds more than its range, whose width follows the size of the corpus.
 
 The documents are read twice, for the questions and to meet the answers. Batches are numbered by input partition and
 place, so the input must come in the same order each time, as a table in storage does. A checksum of every batch
@@ -27,6 +27,8 @@ from packetloom.llm.words import mix
 BATCH_BYTES = 4 << 20
 #: Text bytes for each key range.
 RANGE_BYTES = 10 << 20
+#: Bits of a key by the bytes it takes on the way: with some 10**5 keys in a batch, the rest follows from their order.
+BITS = {4: 48, 6: 64}
 ASKED = "b long, p int, crc long, n int, blob binary"
 KEPT = "b long, crc long, docs binary"
 
@@ -58,69 +60,91 @@ def _numbered(frames, column) -> Iterator[tuple[int, int, pa.RecordBatch]]:
         yield base + k, zlib.crc32(sizes.tobytes()), batch
 
 
-def cuts(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where sorted 64-bit keys are cut into ``parts`` ranges."""
-    if parts == 1:
-        return np.array([0, len(keys)])
-    edges = np.array([(i << 64) // parts for i in range(1, parts)], np.uint64)
+def cuts(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
+    """Where sorted keys of so many bits are cut into ``parts`` ranges."""
+    edges = np.array([(i << bits) // parts for i in range(1, parts)], np.uint64)
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def ask(docs: DataFrame, column: str, keys_of: Callable, parts: int) -> DataFrame:
-    """Questions: ``keys_of(text array)`` gives sorted distinct keys and how often (up to 255) each is in the batch."""
+def _packed(keys: np.ndarray, width: int) -> bytes:
+    """Sorted keys as differences of ``width`` low bytes (4 or 6), and what does not fit: (place, high part) pairs.
+
+    A batch's keys are many, so their differences leave the upper bytes empty but for a few.
+    """
+    steps = np.diff(keys, prepend=np.uint64(0))
+    high = steps >> np.uint64(8 * width)
+    far = np.flatnonzero(high)
+    low = steps.astype(np.uint32).tobytes()
+    if width == 6:
+        low += (steps >> np.uint64(32)).astype(np.uint16).tobytes()
+    return low + far.astype(np.uint32).tobytes() + high[far].astype(np.uint32).tobytes()
+
+
+def _unpacked(blob: bytes, n: int, width: int) -> np.ndarray:
+    steps = np.frombuffer(blob, np.uint32, n).astype(np.uint64)
+    if width == 6:
+        steps += np.frombuffer(blob, np.uint16, n, 4 * n).astype(np.uint64) << np.uint64(32)
+    far, high = np.frombuffer(blob, np.uint32, offset=width * n).reshape(2, -1)
+    steps[far] += high.astype(np.uint64) << np.uint64(8 * width)
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def ask(docs: DataFrame, column: str, keys_of: Callable, parts: int, width: int) -> DataFrame:
+    """Questions: ``keys_of(text array)`` gives sorted distinct keys and how often (up to 255) each is in the batch.
+
+    ``width`` is the number of bytes a key takes on the way: 4 for keys of 48 bits, 6 for keys of 64.
+    """
     def run(frames):
         for b, crc, batch in _numbered(frames, column):
             keys, counts = keys_of(batch.column(column))
-            at = cuts(keys, parts)
+            at = cuts(keys, parts, BITS[width])
             rows = [(p, at[p], at[p + 1]) for p in range(parts) if at[p + 1] > at[p]]
             yield pa.RecordBatch.from_pydict({
                 "b": pa.array([b] * len(rows), pa.int64()), "p": pa.array([p for p, _, _ in rows], pa.int32()),
                 "crc": pa.array([crc] * len(rows), pa.int64()), "n": pa.array([t - s for _, s, t in rows], pa.int32()),
-                "blob": pa.array([keys[s:t].tobytes() + counts[s:t].tobytes() for _, s, t in rows], pa.binary())})
+                "blob": pa.array([counts[s:t].tobytes() + _packed(keys[s:t], width) for _, s, t in rows], pa.binary())})
 
     return docs.select(column).mapInArrow(run, ASKED)
 
 
-def answer(asked: DataFrame) -> DataFrame:
-    """For every batch and range: which keys occur twice or more, how often, and a signature of the batches they are in.
+def answer(asked: DataFrame, width: int, signatures: bool) -> DataFrame:
+    """For every batch and range: which keys occur twice or more, and how often, or a signature of where.
 
-    A key's signature is a sum over its batches, so it stays the same along text that always occurs as a whole.
+    A key's signature is a sum over the batches it is in, so it stays the same along text that always occurs as a whole.
     """
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = np.concatenate([np.frombuffer(x, np.uint64, n) for x, n in zip(rows.blob, rows.n, strict=True)])
-        counts = np.concatenate([np.frombuffer(x, np.uint8, n, 8 * n) for x, n in zip(rows.blob, rows.n, strict=True)])
-        mark = np.repeat(mix(rows.b.to_numpy(np.uint64)), rows.n)
+        keys = np.concatenate([_unpacked(x[n:], n, width) for x, n in zip(rows.blob, rows.n, strict=True)])
+        counts = np.concatenate([np.frombuffer(x, np.uint8, n) for x, n in zip(rows.blob, rows.n, strict=True)])
         order = np.argsort(keys)
         keys = keys[order]
         new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        of_key = np.empty(len(keys), np.int64)
-        of_key[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(keys))))
-        total = np.add.reduceat(counts[order].astype(np.uint32), new)
-        sign = np.add.reduceat(mark[order] * counts[order], new).astype(np.uint32)
+        of_key = np.empty(len(keys), np.uint32)
+        of_key[order] = np.repeat(np.arange(len(new), dtype=np.uint32), np.diff(np.append(new, len(keys))))
+        del keys
+        total = value = np.add.reduceat(counts[order].astype(np.uint32), new)
+        if signatures:
+            mark = np.repeat(mix(rows.b.to_numpy(np.uint64)), rows.n)
+            value = np.add.reduceat(mark[order] * counts[order], new).astype(np.uint32)
         blobs, at = [], 0
         for n in rows.n:
             own = of_key[at:at + n]
             twice = total[own] > 1
-            kept = own[twice]
-            blobs.append(np.packbits(twice).tobytes() + total[kept].tobytes() + sign[kept].tobytes())
+            blobs.append(np.packbits(twice).tobytes() + value[own[twice]].tobytes())
             at += n
         return pd.DataFrame({"b": rows.b, "p": rows.p, "crc": rows.crc, "n": rows.n, "blob": blobs})
 
     return asked.groupBy("p").applyInPandas(run, ASKED)
 
 
-def shared(keys: np.ndarray, answers: pd.DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys that occur twice or more, how often, signatures) of a batch's sorted distinct keys."""
-    at, found = cuts(keys, parts), []
+def shared(keys: np.ndarray, answers: pd.DataFrame, parts: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys that occur twice or more, what was told of each) of a batch's sorted distinct keys."""
+    at, found = cuts(keys, parts, BITS[width]), [(np.zeros(0, np.uint64), np.zeros(0, np.uint32))]
     for p, n, blob in zip(answers.p, answers.n, answers.blob, strict=True):
         if at[p + 1] - at[p] != n:
             raise RuntimeError("a batch is not what its answers are for; read the documents from stored tables")
         own = keys[at[p]:at[p + 1]][np.unpackbits(np.frombuffer(blob, np.uint8, -(-n // 8)), count=n).astype(bool)]
-        rest = np.frombuffer(blob, np.uint32, 2 * len(own), -(-n // 8)).reshape(2, -1)
-        found.append((own, *rest))
-    if not found:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.uint32)
-    return tuple(np.concatenate([x[i] for x in found]) for i in range(3))
+        found.append((own, np.frombuffer(blob, np.uint32, len(own), -(-n // 8))))
+    return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
 def meet(docs: DataFrame, column: str, answers: DataFrame, back: Callable, schema: str) -> DataFrame:

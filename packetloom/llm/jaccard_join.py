@@ -28,22 +28,24 @@ from packetloom.llm.words import Texts, slices, window_hashes
 PERCENT, SHINGLE = 85, 4
 SKETCH_WORDS = 8
 BLOCK = 512
-FOUND = ("doc_id long, n long, same binary, lead int, prefix array<long>, shared array<long>, "
+#: Sets in lists of several are sent to every executor while their number is at most this; beyond it they are joined.
+FEW_SETS = 1_000_000
+FOUND = ("doc_id long, n long, same binary, lead int, prefix array<long>, shared binary, "
          + ", ".join(f"s{i} long" for i in range(SKETCH_WORDS)))
 
 
 def shingle_sets(texts: Texts, size: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of every text; shorter texts are one shingle, texts without words none."""
+    """Sorted distinct shingle hashes (48 bits) of every text; shorter texts are one shingle, texts without words none."""
     words = texts.word_hashes(lower=True)
     at = texts.windows(size)
-    hashes = window_hashes(words, at, size)
+    hashes = window_hashes(words, at, size) >> np.uint64(16)
     cut = np.searchsorted(at, texts.first)
     out = []
     for i in range(len(texts)):
         own = hashes[cut[i]:cut[i + 1]]
         if not len(own) and texts.first[i + 1] > texts.first[i]:
             n = texts.first[i + 1] - texts.first[i]
-            own = window_hashes(words, texts.first[i:i + 1], n)
+            own = window_hashes(words, texts.first[i:i + 1], n) >> np.uint64(16)
         if len(own) > 1:
             own = np.sort(own)
             own = own[np.concatenate([[True], own[1:] != own[:-1]])]
@@ -62,7 +64,7 @@ def _keys(size: int):
 
 def _sketch(own: np.ndarray) -> np.ndarray:
     """Parity of how many shingles fall on each of 512 bits: bits that differ never outnumber differing shingles."""
-    parity = np.bincount((own >> np.uint64(20)).astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
+    parity = np.bincount(own.astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
@@ -70,7 +72,7 @@ def _sets(parts: int, size: int, percent: int):
     def back(batch: pa.RecordBatch, answers) -> pa.Table:
         sets = [x for _, texts in slices(batch.column("text")) for x in shingle_sets(texts, size)]
         keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]))
-        shared, often, _ = exchange.shared(keys, answers, parts)
+        shared, often = exchange.shared(keys, answers, parts, 4)
         rows = {k: [] for k in ("n", "same", "lead", "prefix", "shared")}
         sketches = np.zeros((len(sets), SKETCH_WORDS), np.int64)
         for i, own in enumerate(sets):
@@ -83,14 +85,14 @@ def _sets(parts: int, size: int, percent: int):
                 tokens = own[common]
                 order = np.lexsort((tokens, often[at[common]]))[:prefix - lead]
                 row = (n, hashlib.sha256(own.tobytes()).digest()[:16], lead, tokens[order].view(np.int64),
-                       tokens.view(np.int64))
+                       own[common].view(np.uint16).reshape(-1, 4)[:, :3].tobytes())
                 sketches[i] = _sketch(own)
             for k, v in zip(rows, row, strict=True):
                 rows[k].append(v)
         longs = pa.list_(pa.int64())
         return pa.table({"doc_id": batch.column("doc_id").cast(pa.int64()), "n": pa.array(rows["n"], pa.int64()),
                          "same": pa.array(rows["same"], pa.binary()), "lead": pa.array(rows["lead"], pa.int32()),
-                         "prefix": pa.array(rows["prefix"], longs), "shared": pa.array(rows["shared"], longs),
+                         "prefix": pa.array(rows["prefix"], longs), "shared": pa.array(rows["shared"], pa.binary()),
                          **{f"s{i}": pa.array(sketches[:, i]) for i in range(SKETCH_WORDS)}})
 
     return back
@@ -109,11 +111,24 @@ def _possible(percent: int) -> Column:
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, y) that link, by the sets themselves."""
+    def check(frames):
+        for f in frames:
+            keep = np.zeros(f.num_rows, bool)
+            columns = [f.column(c).to_pylist() for c in ("nx", "ny", "sx", "sy")]
+            for i, (nx, ny, sx, sy) in enumerate(zip(*columns, strict=True)):
+                one, two = (np.frombuffer(s, "V6") for s in (sx, sy))
+                wide = [np.zeros((len(s), 4), np.uint16) for s in (one, two)]
+                for w, s in zip(wide, (one, two), strict=True):
+                    w[:, :3] = s.view(np.uint16).reshape(-1, 3)
+                both = np.sort(np.concatenate([w.view(np.uint64).ravel() for w in wide]))
+                same = int((both[1:] == both[:-1]).sum())
+                keep[i] = 100 * same >= percent * (nx + ny - same)
+            yield f.select(["x", "y"]).filter(pa.array(keep))
+
     one = sets.select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"))
     two = sets.select(F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("shared").alias("sy"))
-    same = F.size(F.array_intersect("sx", "sy"))
-    return pairs.join(one, "x").join(two, "y").select("x", "y", "nx", "ny", same.alias("same")).where(
-        100 * F.col("same") >= percent * (F.col("nx") + F.col("ny") - F.col("same"))).select("x", "y")
+    return pairs.join(one, "x").join(two, "y").select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(
+        check, "x long, y long")
 
 
 def _pairs(joined: DataFrame) -> DataFrame:
@@ -129,22 +144,28 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     """
     docs = docs.select("doc_id", "text")
     parts = exchange.ranges(docs, "text")
-    answers = exchange.answer(exchange.ask(docs, "text", _keys(shingle), parts))
+    answers = exchange.answer(exchange.ask(docs, "text", _keys(shingle), parts, 4), 4, signatures=False)
     found = settled(exchange.meet(docs, "text", answers, _sets(parts, shingle, percent), FOUND))
-    held = found.where(F.col("same").isNotNull())
-    sets = settled(held.groupBy("same").agg(F.min_by(F.struct(*held.columns), "doc_id").alias("s")).select(
-        F.col("s.doc_id").alias("rep"), *[f"s.{c}" for c in held.columns if c != "doc_id"]))
     sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
-    listed = sets.select("rep", "n", *sketch, "lead", F.posexplode("prefix").alias("k", "token")).select(
+    small = found.where(F.col("same").isNotNull() & F.col("doc_id").isNotNull()).select(
+        "same", F.struct("doc_id", "n", "lead", "prefix", *sketch).alias("s"))
+    reps = settled(small.groupBy("same").agg(F.min_by("s", "s.doc_id").alias("s")).select(
+        "same", F.col("s.doc_id").alias("rep"), *[f"s.{c}" for c in ("n", "lead", "prefix", *sketch)]))
+    listed = reps.select("rep", "n", *sketch, "lead", F.posexplode("prefix").alias("k", "token")).select(
         "token", F.struct("rep", "n", (F.col("lead") + F.col("k")).alias("pos"), *sketch).alias("a"))
     # one set of each list, another one in each list, is answered first
     first = listed.groupBy("token").agg(F.count("*").alias("m"), F.min_by("a", F.xxhash64("token", "a.rep")).alias("b"))
-    first = first.where("m > 1").drop("m")
-    stars = _pairs(listed.join(first, "token").where((F.col("a.rep") != F.col("b.rep")) & _possible(percent)))
+    listed = settled(listed.join(first.where("m > 1"), "token"))
+    stars = settled(_pairs(listed.where((F.col("a.rep") != F.col("b.rep")) & _possible(percent))))
+    # sets in lists of several, once each; the set of a repeated doc_id is any of its rows'
+    ids = settled(listed.select("a.rep").distinct())
+    wanted = F.broadcast(ids) if ids.count() <= FEW_SETS else ids
+    sets = settled(found.where("same is not null").select(F.col("doc_id").alias("rep"), "n", "shared").join(
+        wanted, "rep", "left_semi").dropDuplicates(["rep"]))
     links = settled(_verified(stars, sets, percent))
     known = components(links)
     # lists in which sets of several components remain
-    labelled = listed.join(known.select(F.col("node").alias("_node"), "component"),
+    labelled = listed.select("token", "a").join(known.select(F.col("node").alias("_node"), "component"),
                            F.col("a.rep") == F.col("_node"), "left").select(
         "token", "a", F.coalesce("component", "a.rep").alias("c"))
     open_lists = labelled.groupBy("token").agg(F.count("*").alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"))
@@ -159,7 +180,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
         (F.col("i") < F.col("j")) | (F.col("a.rep") < F.col("b.rep"))))
     more = settled(_verified(_pairs(across), sets, percent))
     final = known if more.isEmpty() else components(links.union(more))
-    group = sets.select("same", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
+    group = reps.select("same", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         "same", F.coalesce("component", "rep").alias("component"))
     # a component's smallest set is its smallest document, as a set stands for the smallest of its documents
     return found.select("doc_id", "n", "same").join(group, "same", "left").select(

@@ -78,7 +78,7 @@ def _passages(parts: int, width: int):
         column = batch.column("text")
         prepared = [(at, t, t.windows(width)) for at, t in slices(column)]
         hashes = [window_hashes(t.word_hashes(), w, width) for _, t, w in prepared]
-        edges, _, sign = exchange.shared(np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes])), answers, parts)
+        edges, sign = exchange.shared(np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes])), answers, parts, 6)
         words, gone, sha, spans, paths = [], [], [], [], []
         for (_, texts, windows), own in zip(prepared, hashes, strict=True):
             joined = Joined(texts)
@@ -143,7 +143,7 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
     parts = exchange.ranges(keyed, "text")
-    answers = exchange.answer(exchange.ask(keyed, "text", _keys(width), parts))
+    answers = exchange.answer(exchange.ask(keyed, "text", _keys(width), parts, 6), 6, signatures=True)
     found = settled(exchange.meet(keyed, "text", answers, _passages(parts, width), FOUND))
     wrong = settled(found.select(F.explode("paths").alias("p")).groupBy("p.first", "p.n").agg(
         F.min("p.digest").alias("a"), F.max("p.digest").alias("b")).where("a <> b").select("first", "n"))
