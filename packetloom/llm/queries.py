@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from packetloom.llm import byte_convnet
 from packetloom.llm.hilbert import hilbert_shards
 from packetloom.llm.jaccard_join import jaccard_components
 from packetloom.llm.substring_dedup import repeated_passages
@@ -39,3 +40,11 @@ def op9_hilbert_sharding(spark, sf_dir):
     shards = hilbert_shards(table(spark, sf_dir, "documents"), ["lang", "source", "n_chars"])
     return shards.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@query
+def op10_byte_convnet(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = byte_convnet.with_score(docs, byte_convnet.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", byte_convnet.held_out("doc_id").alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
