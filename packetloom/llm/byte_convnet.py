@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from packetloom.llm.words import slices
 
@@ -227,7 +227,7 @@ def with_score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
                 [*columns, name])
 
     kept = docs.select(*columns)
-    return kept.mapInArrow(run, kept.schema.add(name, "double"))
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> DataFrame:

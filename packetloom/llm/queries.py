@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from packetloom.llm import byte_convnet
 from packetloom.llm.hilbert import hilbert_shards
 from packetloom.llm.jaccard_join import jaccard_components
+from packetloom.llm.packing import pack
+from packetloom.llm.pieces import coded
 from packetloom.llm.substring_dedup import repeated_passages
 
+#: Folder of the public vocabulary files; None takes the installed package's.
+TOKENIZERS: str | None = None
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,12 +28,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    if TOKENIZERS:
+        return f"{TOKENIZERS}/{name}"
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 @query
 def op2_substring_dedup(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op6_sum_of_squares_packing(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op7_sentencepiece(spark, sf_dir):
+    return coded(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op8_jaccard_join(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
