@@ -178,8 +178,15 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     right = spread.where("_own = j").select("token", "i", "j", F.col("a").alias("b"), F.col("c").alias("d"))
     across = left.join(right, ["token", "i", "j"]).where((F.col("c") != F.col("d")) & _possible(percent) & (
         (F.col("i") < F.col("j")) | (F.col("a.rep") < F.col("b.rep"))))
-    more = settled(_verified(_pairs(across), sets, percent))
-    final = known if more.isEmpty() else components(links.union(more))
+    more = _verified(_pairs(across), sets, percent)
+    for end in ("x", "y"):  # links between components, once each
+        more = more.join(known.withColumnRenamed("node", end), end, "left").withColumn(
+            end, F.coalesce("component", end)).drop("component")
+    above = components(more.distinct())
+    # singles of the first round that found a partner only now are components of their own until here
+    final = known.join(above.select(F.col("node").alias("component"), F.col("component").alias("_top")),
+                       "component", "left").select("node", F.coalesce("_top", "component").alias("component")).union(
+        above.join(known.select("node"), "node", "left_anti").select("node", "component"))
     group = reps.select("same", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
         "same", F.coalesce("component", "rep").alias("component"))
     # a component's smallest set is its smallest document, as a set stands for the smallest of its documents
