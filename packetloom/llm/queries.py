@@ -11,6 +11,7 @@ from packetloom.llm.hilbert import hilbert_shards
 from packetloom.llm.jaccard_join import jaccard_components
 from packetloom.llm.packing import pack
 from packetloom.llm.pieces import coded
+from packetloom.llm.rp_forest import nearest
 from packetloom.llm.substring_dedup import repeated_passages
 
 #: Folder of the public vocabulary files; None takes the installed package's.
@@ -35,6 +36,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_rp_forest(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op2_substring_dedup(spark, sf_dir):
     return repeated_passages(table(spark, sf_dir, "documents")).select(
