@@ -80,10 +80,19 @@ def with_curve(df: DataFrame, dimensions: list[str], bits: int = BITS, name: str
     axes = []
     for i, c in enumerate(dimensions):
         # distinct steps only, so that no step is empty by construction
-        marks = sorted(set(row[i] or []))
-        axes.append(sum((F.when(as_number(df, c) > m, 1).otherwise(0) for m in marks), F.lit(0)))
-    coded = df.withColumn(name, F.array(*axes))
-    return coded.withColumn(name, hilbert_index([F.get(name, F.lit(i)) for i in range(len(dimensions))], bits))
+        marks = F.array(*[F.lit(m) for m in sorted(set(row[i] or [0.0]))])
+        axes.append(_let(as_number(df, c), _marks_below(marks)))
+    place = _let(F.array(*axes), lambda x: hilbert_index([F.get(x, F.lit(i)) for i in range(len(dimensions))], bits))
+    return df.withColumn(name, F.coalesce(place, F.lit(0).cast("bigint")))
+
+
+def _marks_below(marks: Column):
+    return lambda v: F.size(F.filter(marks, lambda m: m < v))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def hilbert_shards(docs: DataFrame, dimensions: list[str], shards: int = SHARDS, bits: int = BITS) -> DataFrame:
