@@ -2,19 +2,56 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from packetloom.llm.byte_convnet import keep_good
 from packetloom.llm.jaccard_join import keep_one
+from packetloom.llm.packing import pack
+from packetloom.llm.pseudonyms import pseudonymised
+from packetloom.llm.queries import PSEUDONYM_KEY, table, vocabulary
+from packetloom.llm.substring_dedup import without_passages
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one(docs)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_passages(docs)
 
-STAGES = [
-    ("near copies", lambda spark, docs, sf_dir: keep_one(docs)),
-]
-ORACLE_SQL = None  # no stage is expressible in SQL; tests/llm/test_pipeline.py compares with brute force
+
+def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pseudonymised(docs, PSEUDONYM_KEY)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, vocabulary("word_bpe_49k.json"))
+
+
+STAGES = [("quality", quality), ("near_copies", near_copies), ("repeated_passages", repeated_passages),
+          ("private_data", private_data), ("packing", packing)]
+ORACLE_SQL = None  # no stage is expressible in SQL; tests/llm compare each with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``, each on all that the one before kept, written as Parquet in between."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = stored(spark, stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
+
+
+def stored(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
+    """Written in the folder that ``spark.checkpoint.dir`` names, and read again; each run has its own place."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    path = f"{folder}/pipeline-{uuid.uuid4().hex}/{name}"
+    docs.write.parquet(path)
+    return spark.read.parquet(path)

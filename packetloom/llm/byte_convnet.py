@@ -31,10 +31,12 @@ SLICE = 1 << 18
 
 @dataclass(frozen=True)
 class Training:
-    """``sample``: labelled texts at most. ``chunks``: chunks of a text in training, evenly spread over it."""
+    """``sample``: labelled texts at most. ``chunks``: chunks of a text in training, evenly spread over it. ``epochs`` over
+    the sample, more where it is so small that they are fewer than ``steps`` steps."""
     sample: int = 5000
     chunks: int = 24
     epochs: int = 6
+    steps: int = 900
     texts_a_step: int = 32
     rate: float = 0.004
     seed: int = 11
@@ -143,8 +145,10 @@ def train(texts: list[bytes], labels: np.ndarray, how: Training = Training()) ->
     second = {k: np.zeros_like(v) for k, v in model.items()}
     chunks = [_chunks_of(t, how.chunks) for t in texts]
     steps = 0
-    rounds = how.epochs * -(-len(texts) // how.texts_a_step)
-    for _ in range(how.epochs):
+    a_round = -(-len(texts) // how.texts_a_step)
+    epochs = max(how.epochs, -(-how.steps // a_round))
+    rounds = epochs * a_round
+    for _ in range(epochs):
         order = rng.permutation(len(texts))
         for at in range(0, len(order), how.texts_a_step):
             picked = order[at:at + how.texts_a_step]

@@ -7,15 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from packetloom.llm import byte_convnet
+from packetloom.llm.decision_list import judged
 from packetloom.llm.hilbert import hilbert_shards
 from packetloom.llm.jaccard_join import jaccard_components
+from packetloom.llm.license_scan import scan
 from packetloom.llm.packing import pack
 from packetloom.llm.pieces import coded
+from packetloom.llm.pseudonyms import pseudonymised
 from packetloom.llm.rp_forest import nearest
 from packetloom.llm.substring_dedup import repeated_passages
 
 #: Folder of the public vocabulary files; None takes the installed package's.
 TOKENIZERS: str | None = None
+#: Key of the pseudonyms in the registered query and the pipeline; a deployment sets its own.
+PSEUDONYM_KEY = b"registered-query"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -47,6 +52,23 @@ def op2_substring_dedup(spark, sf_dir):
         "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query
+def op3_decision_list(spark, sf_dir):
+    return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op4_feistel_pseudonyms(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymised(docs, PSEUDONYM_KEY, counted="n_replaced")
+
+
+@query
+def op5_license_scan(spark, sf_dir):
+    return scan(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_sum_of_squares_packing(spark, sf_dir):
     return pack(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
