@@ -139,7 +139,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text; more columns are not read).
 
     Documents link when 100 * intersection >= percent * union of their shingle sets; ``component_id`` is the smallest
-    doc_id reachable by links. Null texts and texts without words have an empty set and link with nothing. Repeated rows
+    doc_id reachable by links, null for a null doc_id. Null texts and texts without words have an empty set and link with nothing. Repeated rows
     give repeated rows of the result. An empty table gives an empty one.
     """
     docs = docs.select("doc_id", "text")
@@ -151,8 +151,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
         "same", F.struct("doc_id", "n", "lead", "prefix", *sketch).alias("s"))
     reps = settled(small.groupBy("same").agg(F.min_by("s", "s.doc_id").alias("s")).select(
         "same", F.col("s.doc_id").alias("rep"), *[f"s.{c}" for c in ("n", "lead", "prefix", *sketch)]))
-    listed = reps.select("rep", "n", *sketch, "lead", F.posexplode("prefix").alias("k", "token")).select(
-        "token", F.struct("rep", "n", (F.col("lead") + F.col("k")).alias("pos"), *sketch).alias("a"))
+    listed = reps.select("rep", "n", *sketch, "lead", "prefix", F.posexplode("prefix").alias("k", "token")).select(
+        "token", F.struct("rep", "n", (F.col("lead") + F.col("k")).alias("pos"), "prefix", *sketch).alias("a"))
     # one set of each list, another one in each list, is answered first
     first = listed.groupBy("token").agg(F.count("*").alias("m"), F.min_by("a", F.xxhash64("token", "a.rep")).alias("b"))
     listed = settled(listed.join(first.where("m > 1"), "token"))
@@ -176,8 +176,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     spread = spread.select("token", "a", "c", "_own", F.least("_own", "_t").alias("i"), F.greatest("_own", "_t").alias("j"))
     left = spread.where("_own = i").select("token", "i", "j", "a", "c")
     right = spread.where("_own = j").select("token", "i", "j", F.col("a").alias("b"), F.col("c").alias("d"))
+    # a pair is looked at in the first list that holds both
+    first_of_both = F.get(F.array_intersect("a.prefix", "b.prefix"), F.lit(0)) == F.col("token")
     across = left.join(right, ["token", "i", "j"]).where((F.col("c") != F.col("d")) & _possible(percent) & (
-        (F.col("i") < F.col("j")) | (F.col("a.rep") < F.col("b.rep"))))
+        (F.col("i") < F.col("j")) | (F.col("a.rep") < F.col("b.rep"))) & first_of_both)
     more = _verified(_pairs(across), sets, percent)
     for end in ("x", "y"):  # links between components, once each
         more = more.join(known.withColumnRenamed("node", end), end, "left").withColumn(
@@ -191,10 +193,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
         "same", F.coalesce("component", "rep").alias("component"))
     # a component's smallest set is its smallest document, as a set stands for the smallest of its documents
     return found.select("doc_id", "n", "same").join(group, "same", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.when(
+            F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` without all but the smallest doc_id of every component; all columns stay."""
+    """``docs`` without all but the smallest doc_id of every component; all columns stay, whatever their names.
+
+    Rows that repeat the kept doc_id stay together; rows with a null doc_id take no part and stay."""
     gone = jaccard_components(docs, percent, shingle).where("component_id <> doc_id").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti")
