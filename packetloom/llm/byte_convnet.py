@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from packetloom.llm.components import fresh
 from packetloom.llm.words import slices
 
 DIM, WIDTH, STRIDE, FILTERS = 4, 8, 2, 24
@@ -87,13 +88,17 @@ def pooled(model: dict, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     echo = _echo(codes)
     best = np.empty((total + 1, FILTERS), np.float32)
     best[-1] = 0
+    last = np.cumsum(blocks)[blocks > 0] - 1
     step = 512
     for s in range(0, total, step):
         e = min(total, s + step)
         span = slice(s * BLOCK * STRIDE, e * BLOCK * STRIDE + WIDTH)
         values = _inputs(model, codes[span], echo[span])
-        best[s:e] = (np.ascontiguousarray(_windows(values)) @ model["filters"]).reshape(
-            e - s, BLOCK, FILTERS).max(1)
+        seen = (np.ascontiguousarray(_windows(values)) @ model["filters"]).reshape(e - s, BLOCK, FILTERS)
+        # windows that start in the padding and reach into the next text are all padding
+        ending = last[np.searchsorted(last, s):np.searchsorted(last, e)] - s
+        seen[ending, BLOCK + 1 - WIDTH // STRIDE:] = 0
+        best[s:e] = seen.max(1)
     best[:-1] = np.maximum(best[:-1] + model["shift"], 0)
     # chunks of a text start every HOP blocks; what a chunk lacks at the end of its text is row -1, zeros
     full = blocks > 0
@@ -216,7 +221,8 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", how: Traini
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
     # one task: at most ``sample`` rows reach it
-    return pickle.loads(sample.repartition(1).mapInPandas(learn, "model binary").first()[0])
+    model = sample.repartition(1).mapInPandas(learn, "model binary").first()
+    return pickle.loads(model[0]) if model else train([], np.zeros(0), how)
 
 
 def with_score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
@@ -236,5 +242,5 @@ def with_score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> DataFrame:
     """``docs`` (all columns as they are) without those that the classifier scores below one half."""
-    name = next(c for c in ("score", *(f"score_{i}" for i in range(len(docs.columns) + 1))) if c not in docs.columns)
+    name = fresh(docs, "score")
     return with_score(docs, fit(docs, labels, "quality", how), name).where(F.col(name) >= 0.5).drop(name)

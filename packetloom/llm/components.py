@@ -16,6 +16,12 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or the first of its numbered forms that ``df`` has no column of (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{i}" for i in range(len(taken) + 1))) if n.lower() not in taken)
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``links`` (x, y). Nodes without a link are not listed.
 

@@ -33,9 +33,9 @@ PATTERN = re.compile(r"""
   | (?P<ip>(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d))
   | (?P<date>(?<!\d)(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\d))
   | (?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))
-  | (?P<phone>\+\d{1,3}[^\w\n]{0,6}\d{2,4}(?:[^\w\n]{1,6}\d{2,4}){1,3}(?!\d)|\+\d{8,15}(?!\d)
+  | (?P<phone>\+\d{1,3}[ .-]?\d(?:[ .-]?\d{2}){4}(?!\d)|\+\d{1,3}[^\w\n]{0,6}\d{2,4}(?:[^\w\n]{1,6}\d{2,4}){1,2}(?!\d)|\+\d{8,15}(?!\d)
             |(?<!\d)\(\d{3}\)[ ]?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]))
-  | (?P<number>(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d))
+  | (?P<number>(?<![\d.])(?:\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}|\d{4}[ -]\d{6}[ -]\d{5}|\d{13,19})(?!\d))
 """, re.VERBOSE | re.IGNORECASE)
 _HINT = np.zeros(256, bool)
 _HINT[[*range(0x30, 0x3A), 0x40, 0x3D]] = True  # digits, @ and =: nothing is found in a text without one
@@ -171,7 +171,7 @@ def replace(f: Feistel, text: str, back: bool = False) -> tuple[str, int]:
 
     def new(m: re.Match) -> str:
         nonlocal count
-        kind, value = m.lastgroup if m.lastgroup != "key" else "secret", m[0]
+        kind, value = m.lastgroup, m[0]
         if m["secret"] is not None:
             at = m.start("key") - m.start()
             out = value[:at] + _hex(f, m["key"], back)

@@ -146,7 +146,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, how: Forest = Fore
 
     Nearness is the inner product of the original vectors; ties go to the smaller id. Vectors that are null, zero, of
     another length than most, or hold null or non-finite components take no part, and neither do rows with a null id; of rows
-    that repeat an id and vector one is returned. With at most ``k`` others all are returned; with none, nothing.
+    that repeat an id and vector one is returned; an id stands for one vector. With at most ``k`` others all are returned; with none, nothing.
     """
     rows = vectors.select(F.col(id).cast("bigint").alias("vec_id"), F.col(vector).cast("array<double>").alias("v"),
                           queries.alias("is_query")).where("vec_id is not null").where(usable(vectors, "v"))
@@ -154,7 +154,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, how: Forest = Fore
         F.aggregate("v", F.lit(0.0), lambda s, c: s + c * c)).alias("longest")).orderBy(F.desc("n"), "d").first()
     if found is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = rows.where(F.size("v") == found.d)
+    rows = rows.where(F.size("v") == found.d).dropDuplicates(["vec_id", "v"])
     longest = float(np.sqrt(found.longest))
     spark = vectors.sparkSession
     sample = rows.orderBy(F.xxhash64("vec_id", F.lit(how.seed)), "vec_id").limit(how.sample).toPandas()

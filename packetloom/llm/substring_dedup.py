@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from packetloom.llm import exchange
-from packetloom.llm.components import settled
+from packetloom.llm.components import fresh, settled
 from packetloom.llm.words import SPACE, Texts, slices, window_hashes
 
 WIDTH = 35
@@ -155,19 +155,19 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def without_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with repeated passages taken out of ``text`` (the kept words joined by one space); the other columns,
     whatever their names, stay. Texts that lose nothing stay as they are, and so do null texts."""
+    key, gone = fresh(docs, "row_key"), fresh(docs, "removed")
     spans = repeated_passages(docs, width).where("n_removed > 0").select(
-        F.col("row_key").alias("_row_key"), F.col("removed").alias("_removed")).dropDuplicates(["_row_key"])
-    joined = docs.withColumn("_row_key", F.xxhash64("doc_id", "text")).join(spans, "_row_key", "left")
+        F.col("row_key").alias(key), F.col("removed").alias(gone)).dropDuplicates([key])
+    joined = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(spans, key, "left")
     names, columns = joined.columns, docs.columns
 
     def cut(frames):
         for frame in frames:
-            text = frame.column(names.index("text"))
-            texts, removed = text.to_pylist(), frame.column(names.index("_removed")).to_pylist()
-            for i, gone in enumerate(removed):
-                if gone:
+            texts = frame.column(names.index("text")).to_pylist()
+            for i, spans_of in enumerate(frame.column(names.index(gone)).to_pylist()):
+                if spans_of:
                     _, one = next(slices(pa.array([texts[i]], pa.string())))
-                    texts[i] = Joined(one).kept(0, len(one.start), [(g["at"], g["at"] + g["n"]) for g in gone]).decode()
+                    texts[i] = Joined(one).kept(0, len(one.start), [(g["at"], g["at"] + g["n"]) for g in spans_of]).decode()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == "text" else frame.column(names.index(c)) for c in columns], columns)
 
