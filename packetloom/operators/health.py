@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from packetloom.functions.text import ip_text
 from packetloom.operators.netflow_state import record_count
@@ -11,12 +11,22 @@ from packetloom.plans.tables import unnest
 from packetloom.schema import IPFIX, NETFLOW_V9
 from packetloom.sources.packets import CHANNEL_PORT, router_key
 
-QUANTILES = [0.5, 0.9, 0.99]
+#: In hundredths.
+QUANTILES = (50, 90, 99)
 
 
-def _summary(value: Column, accuracy: int = 10_000) -> list[Column]:
-    return [F.percentile_approx(value, QUANTILES, accuracy).alias("quantiles"),
-            F.sum(value).cast("bigint").alias("sum"), F.count(value).alias("count")]
+def _summary(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Exact sum, count and discrete quantiles of ``value`` per ``keys``.
+
+    Equal values are counted first, map-side, so what is ordered per key is its distinct values (datagram sizes, whole
+    seconds), however many rows it has.
+    """
+    counts = rows.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c")).where("v is not null")
+    upto = W.partitionBy(*keys).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    ranked = counts.select(*keys, "v", "c", F.sum("c").over(upto).alias("r"), F.sum("c").over(W.partitionBy(*keys)).alias("n"))
+    return ranked.groupBy(*keys).agg(
+        F.array(*[F.min(F.when(F.col("r") * 100 >= F.col("n") * q, F.col("v"))) for q in QUANTILES]).alias("quantiles"),
+        F.sum(F.col("v") * F.col("c")).cast("bigint").alias("sum"), F.sum("c").alias("count"))
 
 
 def traffic(packets: DataFrame) -> DataFrame:
@@ -32,9 +42,9 @@ def traffic(packets: DataFrame) -> DataFrame:
     rows = packets.select(router_key().alias("remote_ip"), F.col("src_port").alias("remote_port"),
                           local_ip.alias("local_ip"), local_port.alias("local_port"), F.col("channel").alias("type"),
                           F.octet_length("payload").alias("size"))
-    quantiles, total, count = _summary(F.col("size"))
-    return rows.groupBy("remote_ip", "remote_port", "local_ip", "local_port", "type").agg(
-        total.alias("bytes"), count.alias("packets"), quantiles.alias("size_quantiles"))
+    keys = ["remote_ip", "remote_port", "local_ip", "local_port", "type"]
+    return _summary(rows, keys, "size").select(*keys, F.col("sum").alias("bytes"), F.col("count").alias("packets"),
+                                               F.col("quantiles").alias("size_quantiles"))
 
 
 def netflow_packets(resolved: DataFrame | None, v5_headers: DataFrame | None = None) -> DataFrame:
@@ -92,8 +102,8 @@ def delay(flows: DataFrame) -> DataFrame:
         ip_text(F.col("SamplerAddress")).alias("router"),
         F.when(F.col("Type") == NETFLOW_V9, 9).otherwise(10).alias("version"),
         (F.col("TimeReceived") - F.col("TimeFlowEnd")).alias("delay"))
-    quantiles, total, count = _summary(F.col("delay"))
-    return rows.groupBy("router", "version").agg(quantiles, total.alias("delay_sum"), count.alias("flows"))
+    return _summary(rows, ["router", "version"], "delay").select(
+        "router", "version", "quantiles", F.col("sum").alias("delay_sum"), F.col("count").alias("flows"))
 
 
 def template_counts(resolved: DataFrame) -> DataFrame:

@@ -66,11 +66,13 @@ def project_flows(records: DataFrame) -> DataFrame:
     return to_flow_columns(records.withColumn("is_padding", F.lit(False)), values, PROVENANCE)
 
 
-def resolve(packets: DataFrame, templates: DataFrame | None = None, with_fields: bool = False,
-            exact: bool = False) -> DataFrame:
-    """Frame packets and look their sets up in the template timeline the packets themselves build."""
+def resolve(packets: DataFrame, templates: DataFrame | None = None, with_fields: bool = False) -> DataFrame:
+    """Frame packets and look their sets up in the template timeline the packets themselves build.
+
+    A set without a template ends its packet; templates behind it are never learnt.
+    """
     framed = frame(packets)
-    drop = unlearnt_announcements(framed) if exact else None
+    drop = unlearnt_announcements(framed)
     return resolve_sets(framed, settle(template_timeline(framed, templates, with_fields, drop)), with_fields)
 
 
@@ -82,13 +84,12 @@ def with_sampling(resolved: DataFrame, sampling: DataFrame | None = None,
 
 
 def flows_from_netflow(packets: DataFrame, templates: DataFrame | None = None, sampling: DataFrame | None = None,
-                       sampling_rate: int | None = None, exact: bool = False) -> DataFrame:
+                       sampling_rate: int | None = None) -> DataFrame:
     """NetFlow v9 and IPFIX packets to flows.
 
     ``templates`` and ``sampling`` add templates and rates known beforehand; ``sampling_rate`` replaces rate
-    lookup by a constant. ``exact`` also forgets templates that stand behind an undecodable set (one small
-    extra job; it differs only for packets that announce a template behind a set without one).
+    lookup by a constant.
     """
-    resolved = resolve(packets, templates, exact=exact)
+    resolved = resolve(packets, templates)
     rated = with_sampling(resolved, sampling, sampling_rate)
     return project_flows(explode_records(rated, "data", [*PACKET_COLUMNS, "sampling_rate"]))

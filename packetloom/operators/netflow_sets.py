@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from packetloom.functions.binary import span, uint
 from packetloom.plans.tables import unnest
-from packetloom.sources.packets import received_second, router_key, sampler_address
+from packetloom.sources.packets import pinned, received_second, router_key, sampler_address
 
 HEADER_BYTES = {9: 20, 10: 16}
 SET_TYPE = "struct<idx:int,id:int,pos:int,len:int>"
@@ -117,7 +117,7 @@ def frame(packets: DataFrame) -> DataFrame:
     ``bad`` / ``bad_idx`` name that failure and the position of the failing set; sets from there on are not
     listed, as nothing behind a failing set is read. ``announced`` holds the templates of the listed sets.
     """
-    head = read_headers(packets)
+    head = read_headers(packets if packets.isStreaming else pinned(packets))
     # a set takes at least four bytes; for v9 the walk also ends at the header's count
     most = f"""IF(version = 9, least(header_count, octet_length(payload) div 4),
                   cast(octet_length(payload) div 4 as int))"""

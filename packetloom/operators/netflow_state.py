@@ -14,10 +14,13 @@ from packetloom.operators.layout import slot_at, slot_length, with_layout
 from packetloom.plans.tables import join_small, settle, unnest
 
 KEY = ["router", "version", "domain"]
+SPOT = [*KEY, "t", "packet_id", "set_idx"]  # packet numbers are unique in an exporter's second at best
 ORDER = ["t", "packet_id", "set_idx", "rec_idx"]
+#: What a template's history is kept by, and what makes an announcement a change.
+TEMPLATE_VALUE = ([*KEY, "template_id"], ["kind", "field_count", "scopes", "fields"])
+RATE_VALUE = (KEY, ["rate"])
 # Packets of one exporter are first compared within a slot of time, so no exporter is one sort group.
 SLOT_MICROS = 3_600_000_000
-ENTRY_BYTES = 1024
 
 
 def announcements(framed: DataFrame) -> DataFrame:
@@ -46,22 +49,41 @@ def template_changes(framed: DataFrame, seed: DataFrame | None = None, drop: Dat
     """Template changes with their compiled layout.
 
     ``seed`` adds templates known beforehand (columns of ``announcements``). ``drop`` lists announcements
-    (packet_id, set_idx) that were never learnt, see ``unlearnt_announcements``.
+    (SPOT) that were never learnt, see ``unlearnt_announcements``.
     """
-    history = announcements(framed)
-    if drop is not None:
-        history = history.join(drop, ["packet_id", "set_idx"], "left_anti")
+    history = learnt(framed, drop)
     if seed is not None:
         history = history.unionByName(seed)
-    kept = changes(history, [*KEY, "template_id"], ["kind", "field_count", "scopes", "fields"], ORDER)
-    return with_layout(kept)
+    return with_layout(changes(history, *TEMPLATE_VALUE, ORDER))
+
+
+def learnt(framed: DataFrame, drop: DataFrame | None) -> DataFrame:
+    """Announcements without those of ``drop``."""
+    history = announcements(framed)
+    return history if drop is None else history.join(drop, SPOT, "left_anti")
+
+
+def compacted(history: DataFrame, keys: list[str], value: list[str], order: list[str], horizon: int) -> DataFrame:
+    """All of the last ``horizon`` microseconds of a history, and only the changes before that.
+
+    What repeats within the horizon is kept, as a packet that comes late may still say something else in between.
+    """
+    newest = history.agg(F.max("t")).first()[0]  # one number
+    if newest is None:
+        return history
+    old = changes(history.where(F.col("t") < newest - horizon), keys, value, order)
+    return old.unionByName(history.where(F.col("t") >= newest - horizon))
 
 
 def template_timeline(framed: DataFrame, seed: DataFrame | None = None, with_fields: bool = False,
                       drop: DataFrame | None = None) -> DataFrame:
     """One row per (router, version, domain): ``templates``, the changes in order."""
+    return timeline_of(template_changes(framed, seed, drop), with_fields)
+
+
+def timeline_of(changed: DataFrame, with_fields: bool = False) -> DataFrame:
     entry = [*ORDER, "template_id", "layout"] + (["scopes", "fields"] if with_fields else [])
-    return template_changes(framed, seed, drop).groupBy(*KEY).agg(
+    return changed.groupBy(*KEY).agg(
         F.array_sort(F.collect_list(F.struct(*entry))).alias("templates"))
 
 
@@ -78,7 +100,7 @@ def resolve_sets(framed: DataFrame, timeline: DataFrame, with_fields: bool = Fal
     ``error_idx`` is the set that rejects the packet. A rejected packet keeps its ``rsets``; callers that
     want accepted data filter on ``error``.
     """
-    joined = join_small(framed, timeline, KEY, F.size("templates") * ENTRY_BYTES)
+    joined = join_small(framed, timeline, KEY)
     extra = ["scopes", "fields"] if with_fields else []
 
     def look_up(s):
@@ -119,54 +141,70 @@ def own_sampling_rate() -> Column:
 
 def sampling_changes(resolved: DataFrame, seed: DataFrame | None = None) -> DataFrame:
     """Sampling-rate changes told by accepted packets: KEY, t, packet_id, rate."""
-    rate = F.when(F.col("error").isNull() & F.col("own_rate").isNotNull(), F.array("own_rate"))
-    told = unnest(resolved, [*KEY, "t", "packet_id"], rate, "rate")
+    told = told_rates(resolved)
     if seed is not None:
         told = told.unionByName(seed)
-    return changes(told, KEY, ["rate"], ["t", "packet_id"])
+    return changes(told, *RATE_VALUE, ["t", "packet_id"])
+
+
+def told_rates(resolved: DataFrame) -> DataFrame:
+    """Every rate an accepted packet tells."""
+    rate = F.when(F.col("error").isNull() & F.col("own_rate").isNotNull(), F.array("own_rate"))
+    return unnest(resolved, [*KEY, "t", "packet_id"], rate, "rate")
 
 
 def sampling_timeline(resolved: DataFrame, seed: DataFrame | None = None) -> DataFrame:
-    return sampling_changes(resolved, seed).groupBy(*KEY).agg(
+    return rates_of(sampling_changes(resolved, seed))
+
+
+def rates_of(changed: DataFrame) -> DataFrame:
+    return changed.groupBy(*KEY).agg(
         F.array_sort(F.collect_list(F.struct("t", "packet_id", "rate"))).alias("rates"))
 
 
 def attach_sampling(resolved: DataFrame, timeline: DataFrame) -> DataFrame:
     """Add ``sampling_rate``: the packet's own rate, else the last one told before it, else 0."""
-    joined = join_small(resolved, timeline, KEY, F.size("rates") * 64)
+    joined = join_small(resolved, timeline, KEY)
     t, pid = F.col("t"), F.col("packet_id")
     past = F.filter("rates", lambda r: (r["t"] < t) | ((r["t"] == t) & (r["packet_id"] <= pid)))
     rate = F.coalesce("own_rate", F.try_element_at(past, F.lit(-1))["rate"], F.lit(0))
     return joined.withColumn("sampling_rate", rate).drop("rates")
 
 
-def unlearnt_announcements(framed: DataFrame) -> DataFrame:
+def unlearnt_announcements(framed: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Announcements a collector never learns: those behind a set of the same packet whose template is missing.
 
     A set is missing its template when it comes before the first learnt announcement of its id. Dropping an
     announcement can only make more sets miss theirs, so the list grows until it stands still; only packets
-    that announce a template behind a data set take part, and they are rare.
+    that announce a template behind a data set take part, and they are rare. ``known`` adds templates learnt before.
     """
-    refs = framed.where(F.exists("sets", lambda s: s["id"] >= 256) & (F.size("announced") > 0)).select(
+    # by the sets alone first, so that templates are read of those few packets only
+    first_data = F.array_min(F.transform(F.filter("sets", lambda s: s["id"] >= 256), lambda s: s["idx"]))
+    behind = framed.where(F.exists("sets", lambda s: (s["id"] < 256) & (s["idx"] > first_data)))
+    refs = behind.select(
         *KEY, "t", "packet_id", F.explode(F.filter("sets", lambda s: s["id"] >= 256)).alias("s"), "announced").where(
         F.exists("announced", lambda a: a["set_idx"] > F.col("s.idx"))).select(
         *KEY, "t", "packet_id", F.col("s.idx").alias("ref_idx"), F.col("s.id").alias("template_id"),
         F.array_distinct(F.transform("announced", lambda a: a["set_idx"])).alias("behind"))
     refs = settle(refs)
-    nothing = framed.sparkSession.createDataFrame([], "packet_id bigint, set_idx int")
+    nothing = framed.sparkSession.createDataFrame(
+        [], "router string, version int, domain bigint, t bigint, packet_id bigint, set_idx int")
     if refs.isEmpty():
         return nothing
-    rows = settle(announcements(framed).join(
+    told = announcements(framed).select(*KEY, "template_id", "t", "packet_id", "set_idx")
+    if known is not None:
+        told = told.union(known.select(*told.columns))
+    rows = settle(told.join(
         settle(refs.select(*KEY, "template_id").distinct()), [*KEY, "template_id"], "left_semi").select(
         *KEY, "template_id", "t", "packet_id", "set_idx"))
     dropped, known = nothing, 0
     while True:
-        first = rows.join(dropped, ["packet_id", "set_idx"], "left_anti").groupBy(*KEY, "template_id").agg(
+        first = rows.join(dropped, SPOT, "left_anti").groupBy(*KEY, "template_id").agg(
             F.min(F.struct("t", "packet_id", "set_idx")).alias("first"))
         here = F.struct("t", "packet_id", F.col("ref_idx").alias("set_idx"))
         missing = refs.join(first, [*KEY, "template_id"], "left").where(
             F.col("first").isNull() | (here < F.col("first")))
-        dropped = settle(missing.select("packet_id", F.explode(F.filter(
+        dropped = settle(missing.select(*KEY, "t", "packet_id", F.explode(F.filter(
             "behind", lambda b: b > F.col("ref_idx"))).alias("set_idx")).distinct())
         count = dropped.count()
         if count == known:

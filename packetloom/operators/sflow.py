@@ -26,10 +26,12 @@ IF_COUNTERS = [
     ("IfInErrors", 4), ("IfInUnknownProtos", 4), ("IfOutOctets", 8), ("IfOutUcastPkts", 4),
     ("IfOutMulticastPkts", 4), ("IfOutBroadcastPkts", 4), ("IfOutDiscards", 4), ("IfOutErrors", 4),
     ("IfPromiscuousMode", 4)]
-ETHERNET_COUNTERS = [(f"Dot3Stats{name}", 4) for name in (
-    "AlignmentErrors", "FCSErrors", "SingleCollisionFrames", "MultipleCollisionFrames", "SQETestErrors",
-    "DeferredTransmissions", "LateCollisions", "ExcessiveCollisions", "InternalMacTransmitErrors",
-    "CarrierSenseErrors", "FrameTooLongs", "InternalMacReceiveErrors", "SymbolErrors")]
+ETHERNET_COUNTERS = [
+    ("Dot3StatsAlignmentErrors", 4), ("Dot3StatsFCSErrors", 4), ("Dot3StatsSingleCollisionFrames", 4),
+    ("Dot3StatsMultipleCollisionFrames", 4), ("Dot3StatsSQETestErrors", 4), ("Dot3StatsDeferredTransmissions", 4),
+    ("Dot3StatsLateCollisions", 4), ("Dot3StatsExcessiveCollisions", 4), ("Dot3StatsInternalMacTransmitErrors", 4),
+    ("Dot3StatsCarrierSenseErrors", 4), ("Dot3StatsFrameTooLongs", 4), ("Dot3StatsInternalMacReceiveErrors", 4),
+    ("Dot3StatsSymbolErrors", 4)]
 
 _ITEM = "struct<idx:int,fmt:bigint,pos:int,len:int>"
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from packetloom.functions import render
-from packetloom.functions.names import with_field_name
+from packetloom.functions.names import IPFIX_FLOW_ELEMENTS, with_field_name
 from packetloom.functions.text import flow_type_name, ip_text, mac_text
 from packetloom.operators import analytics, describe, health, netflow5, sflow
 from packetloom.operators.netflow_flows import flows_from_netflow, resolve, with_sampling
@@ -46,7 +46,7 @@ def dotted(number: str) -> str:
 
 
 SRC, DST = dotted("167772160 + sk"), dotted("3232235520 + pk % 65536")
-NEXT_HOP, EXPORTER = dotted("184483840 + ln"), dotted("167837696 + sk % 65536")
+NEXT_HOP, EXPORTER = dotted("184483840 + ln"), dotted("167837696 + sk")
 V6 = "'2001:db8::' || printf('%x:%x', ({n}) // 65536, ({n}) % 65536)"
 SRC6, DST6 = V6.format(n="167772160 + sk"), V6.format(n="3232235520 + pk % 65536")
 RATE = "CASE WHEN m >= TIMESTAMP '2000-01-01' THEN 2000 ELSE 1000 END"
@@ -186,7 +186,7 @@ def _(spark, sf_dir):
                  ["SrcMac", "FragmentOffset"])
 
 
-@register("nf_sampling_asof", f"""SELECT {dotted('167837696 + s_suppkey % 65536')} AS router, 9 AS version, v.since AS since,
+@register("nf_sampling_asof", f"""SELECT {dotted('167837696 + s_suppkey')} AS router, 9 AS version, v.since AS since,
     CAST(v.rate AS BIGINT) AS rate FROM supplier CROSS JOIN (VALUES (CAST(631152000 AS BIGINT), 1000),
     (CAST(946684800 AS BIGINT), 2000)) AS v(since, rate)""")
 def _(spark, sf_dir):
@@ -194,7 +194,7 @@ def _(spark, sf_dir):
     return changed.select("router", "version", F.floor(F.col("t") / 1_000_000).cast("bigint").alias("since"), "rate")
 
 
-@register("nf_options_data", f"""SELECT {dotted('167837696 + s_suppkey % 65536')} AS router, v.packet AS packet,
+@register("nf_options_data", f"""SELECT {dotted('167837696 + s_suppkey')} AS router, v.packet AS packet,
     CAST(1 AS BIGINT) AS scope_value, CAST(v.rate AS BIGINT) AS interval FROM supplier
     CROSS JOIN (VALUES (0, 1000), (1, 2000)) AS v(packet, rate)""")
 def _(spark, sf_dir):
@@ -208,7 +208,7 @@ def _(spark, sf_dir):
                        number(describe.first_value("scopes", 1)).alias("scope_value"), rate.alias("interval"))
 
 
-TEMPLATE_LIST = f"""SELECT {dotted('167837696 + s_suppkey % 65536')} AS router, 9 AS version, CAST(7 AS BIGINT) AS domain,
+TEMPLATE_LIST = f"""SELECT {dotted('167837696 + s_suppkey')} AS router, 9 AS version, CAST(7 AS BIGINT) AS domain,
     v.template_id AS template_id, v.kind AS kind, v.field_count AS field_count, CAST(v.size AS BIGINT) AS size
     FROM supplier CROSS JOIN (VALUES (300, 'data', 20, 71), (400, 'options', 2, 8)) AS v(template_id, kind, field_count, size)"""
 
@@ -235,18 +235,18 @@ def _(spark, sf_dir):
     return long.groupBy("part", "field_id", "field_name").agg(F.count("*").alias("n"))
 
 
-@register("field_names", """SELECT CAST(l_partkey % 33000 AS INTEGER) AS field_id, 10 AS version,
-    CASE WHEN l_partkey % 33000 BETWEEN 105 AND 127 THEN 'Assigned for NetFlow v9 compatibility'
-         WHEN l_partkey % 33000 BETWEEN 468 AND 32767 THEN 'Unassigned'
-         WHEN l_partkey % 33000 IN (1, 2) THEN CASE l_partkey % 33000 WHEN 1 THEN 'octetDeltaCount' ELSE 'packetDeltaCount' END
-         ELSE 'other' END AS field_name, count(*) AS n FROM lineitem GROUP BY 1, 2, 3""")
+ELEMENTS_SQL = ", ".join(f"({i}, '{n}')" for i, n in IPFIX_FLOW_ELEMENTS.items())
+
+
+@register("field_names", f"""WITH ids AS (SELECT CAST(l_partkey % 33000 AS INTEGER) AS field_id FROM lineitem)
+    SELECT field_id, 10 AS version, CASE WHEN field_id BETWEEN 105 AND 127 THEN 'Assigned for NetFlow v9 compatibility'
+         WHEN field_id BETWEEN 468 AND 32767 THEN 'Unassigned' ELSE coalesce(e.name, '') END AS field_name, count(*) AS n
+    FROM ids LEFT JOIN (VALUES {ELEMENTS_SQL}) AS e(id, name) ON e.id = field_id GROUP BY 1, 2, 3""")
 def _(spark, sf_dir):
     ids = rt.table(spark, sf_dir, "lineitem").select(
         (F.col("l_partkey") % 33000).cast("int").alias("field_id"), F.lit(10).alias("version"))
     counted = ids.groupBy("field_id", "version").agg(F.count("*").alias("n"))
-    named = with_field_name(counted, F.lit("field"))
-    ruled = F.col("field_name").isin("Unassigned", "Assigned for NetFlow v9 compatibility") | F.col("field_id").isin(1, 2)
-    return named.select("field_id", "version", F.when(ruled, F.col("field_name")).otherwise("other").alias("field_name"), "n")
+    return with_field_name(counted, F.lit("field")).select("field_id", "version", "field_name", "n")
 
 
 # --- sFlow ------------------------------------------------------------------------------------------------------
@@ -493,10 +493,10 @@ def _(spark, sf_dir):
 
 
 @register("flows_sql_view", f"""{LI} SELECT {big('proto')} AS Proto, {big(DPORT)} AS DstPort,
-    CAST(sum(octets) AS BIGINT) AS bytes FROM li WHERE {DPORT} < 1005 GROUP BY 1, 2""")
+    CAST(sum(octets) AS BIGINT) AS bytes FROM li GROUP BY 1, 2""")
 def _(spark, sf_dir):
     register_flows(v5_flows(spark, sf_dir), "flows")
-    return spark.sql("SELECT Proto, DstPort, CAST(sum(Bytes) AS BIGINT) AS bytes FROM flows WHERE DstPort < 1005 GROUP BY 1, 2")
+    return spark.sql("SELECT Proto, DstPort, CAST(sum(Bytes) AS BIGINT) AS bytes FROM flows GROUP BY 1, 2")
 
 
 # --- health -----------------------------------------------------------------------------------------------------
@@ -512,7 +512,13 @@ def _(spark, sf_dir):
     return health.traffic(rt.v5_packets(spark, sf_dir)).drop("size_quantiles")
 
 
-@register("health_traffic_sizes")
+QUANTILE_SQL = ", ".join(f"min(CASE WHEN rn * 100 >= {q} * n THEN v END) AS p{q}" for q in (50, 90, 99))
+
+
+@register("health_traffic_sizes", f"""{LI}{PACKETS_SQL.format(per=24)}, sizes AS (SELECT sk, CAST(24 + 48 * least(24, n - 24 * i)
+      AS INTEGER) AS v FROM (SELECT sk, n, unnest(range((n + 23) // 24)) AS i FROM sent)),
+    ranked AS (SELECT sk, v, row_number() OVER (PARTITION BY sk ORDER BY v) AS rn, count(*) OVER (PARTITION BY sk) AS n FROM sizes)
+    SELECT {EXPORTER} AS remote_ip, CAST(max(n) AS BIGINT) AS packets, {QUANTILE_SQL} FROM ranked GROUP BY 1""")
 def _(spark, sf_dir):
     return health.traffic(rt.v5_packets(spark, sf_dir)).select(
         "remote_ip", "packets", *[F.get("size_quantiles", F.lit(i)).alias(n) for i, n in enumerate(("p50", "p90", "p99"))])
@@ -552,7 +558,9 @@ def _(spark, sf_dir):
     return health.delay(flows_from_netflow(rt.netflow_packets(spark, sf_dir, 9), sampling_rate=1)).drop("quantiles")
 
 
-@register("health_delay_quantiles")
+@register("health_delay_quantiles", f"""{LI}, delays AS (SELECT sk, received - (1700000000 - ok % 100) AS v FROM li),
+    ranked AS (SELECT sk, v, row_number() OVER (PARTITION BY sk ORDER BY v) AS rn, count(*) OVER (PARTITION BY sk) AS n FROM delays)
+    SELECT {EXPORTER} AS router, 9 AS version, {QUANTILE_SQL} FROM ranked GROUP BY 1""")
 def _(spark, sf_dir):
     rows = health.delay(flows_from_netflow(rt.netflow_packets(spark, sf_dir, 9), sampling_rate=1))
     return rows.select("router", "version", *[F.get("quantiles", F.lit(i)).alias(n) for i, n in enumerate(("p50", "p90", "p99"))])
@@ -678,13 +686,14 @@ def _(spark, sf_dir):
                        F.col("packets").cast("bigint").alias("packets"), "flows")
 
 
-@register("enrich_dictionary", f"""{LI} SELECT n_name AS country, CAST(sum(octets) AS BIGINT) AS bytes, count(*) AS flows
-    FROM li JOIN (SELECT 64512 + s_suppkey AS a, n_name FROM supplier JOIN nation ON s_nationkey = n_nationkey
-                  WHERE s_suppkey < 1000) d ON d.a = {SRC_AS} GROUP BY 1""")
+@register("enrich_dictionary", f"""{LI} SELECT country, CAST(sum(octets) AS BIGINT) AS bytes, count(*) AS flows
+    FROM li JOIN (SELECT 64512 + s_suppkey % 1000 AS a, max(n_name) AS country
+                  FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1) d ON d.a = {SRC_AS} GROUP BY 1""")
 def _(spark, sf_dir):
-    suppliers = rt.table(spark, sf_dir, "supplier").where("s_suppkey < 1000")
-    dictionary = suppliers.join(rt.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
-        (64512 + F.col("s_suppkey")).alias("SrcAS"), F.col("n_name").alias("country"))
+    # several suppliers share an AS from the thousandth on; the dictionary repeats its key there
+    dictionary = rt.table(spark, sf_dir, "supplier").join(
+        rt.table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
+        (64512 + F.col("s_suppkey") % 1000).alias("SrcAS"), F.col("n_name").alias("country"))
     rows = analytics.enrich(v5_flows(spark, sf_dir), dictionary, ["SrcAS"])
     return rows.groupBy("country").agg(F.sum("Bytes").cast("bigint").alias("bytes"), F.count("*").alias("flows"))
 

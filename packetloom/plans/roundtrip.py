@@ -36,7 +36,7 @@ def lineitem_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exporter(sk: Column) -> Column:
-    return v4(F.lit((10 << 24) + (1 << 16)) + sk % 65536)
+    return v4(F.lit((10 << 24) + (1 << 16)) + sk)
 
 
 def packet_number(sk: Column, month: Column, block: Column, slice_no: Column) -> Column:
@@ -252,7 +252,7 @@ def sflow_packets(spark: SparkSession, sf_dir: str, records: list[Column], sampl
     rows = lineitem_rows(spark, sf_dir).withColumn("rec", sample if sample is not None else _flow_sample_hex(records))
     groups = gather_records(rows, ["sk", "recv_time", "block"], ["ok", "ln", "pk"], "rec", SAMPLES_PER_PACKET)
     number = packet_number(F.col("sk"), F.col("recv_time"), F.col("block"), F.col("slice_no"))
-    head = F.concat(be_hex(5, 4), be_hex(1, 4), be_hex(F.lit((10 << 24) + (1 << 16)) + F.col("sk") % 65536, 4),
+    head = F.concat(be_hex(5, 4), be_hex(1, 4), be_hex(F.lit((10 << 24) + (1 << 16)) + F.col("sk"), 4),
                     be_hex(0, 4), be_hex(number % (1 << 32), 4), be_hex(1000, 4), be_hex(F.size("records"), 4))
     return groups.select(
         number.alias("packet_id"), F.lit(SFLOW).alias("channel"), exporter(F.col("sk")).alias("src"),

@@ -1,9 +1,8 @@
-"""Small derived tables: fixing them on reliable storage and joining them by their checked size."""
+"""Small derived tables: computing them once and joining them by their true size."""
 
 from __future__ import annotations
 
-import tempfile
-
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_BYTES = 64 << 20
@@ -16,23 +15,26 @@ def unnest(df: DataFrame, keep: list, items, name: str) -> DataFrame:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage, in the folder ``spark.checkpoint.dir`` names.
+    """Compute a small table once and keep it in the executors' memory and disks.
 
-    Only where that setting is absent (tests on one machine) a folder of its own is made.
+    No folder is needed and nothing stays behind in one. A part lost with an executor is computed again, which
+    gives the same rows, as nothing here depends on the time of day. Long-running callers ``unpersist`` it.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="packetloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    return kept
+
+
+def table_bytes(df: DataFrame) -> int:
+    """Size by the statistics of the plan; exact for a settled table."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def join_small(big: DataFrame, small: DataFrame, keys: list[str], row_bytes, how: str = "left",
+def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
                limit: int = BROADCAST_BYTES) -> DataFrame:
     """Join a settled table to a big one: broadcast while its size is within ``limit``, else by shuffle.
 
-    ``row_bytes`` is an expression bounding the bytes of a row. Beyond the limit the join is a plain
-    equi-join: adaptive execution splits the partitions of hot keys and repeats the small side for them.
+    Beyond the limit the join is a plain equi-join: adaptive execution splits the partitions of hot keys and repeats
+    the small side for them.
     """
-    size = small.agg(F.coalesce(F.sum(row_bytes), F.lit(0)).cast("bigint")).first()[0]
-    return big.join(F.broadcast(small) if size <= limit else small, keys, how)
+    return big.join(F.broadcast(small) if table_bytes(small) <= limit else small, keys, how)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from packetloom.functions.binary import span
@@ -46,6 +48,16 @@ def of_channel(packets: DataFrame, channel: str) -> DataFrame:
     return packets.where(F.col("channel") == channel)
 
 
+def pinned(packets: DataFrame) -> DataFrame:
+    """Packets without a receive time get the time of this call, one literal for all jobs over the result.
+
+    Several jobs look at the same packets (templates, rates, records); with a clock of its own each would order
+    them differently. Packets pinned together are ordered by ``packet_id``.
+    """
+    now = F.lit(dt.datetime.now(dt.timezone.utc))
+    return packets.withColumn("recv_time", F.coalesce("recv_time", now))
+
+
 def received_second() -> Column:
     """Receive time in whole epoch seconds; now, where the capture set none."""
     return F.unix_timestamp(F.coalesce(F.col("recv_time"), F.current_timestamp()))

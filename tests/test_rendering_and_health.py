@@ -13,7 +13,7 @@ from packetloom.operators.netflow5 import flows_from_netflow5
 from packetloom.operators.netflow_flows import resolve
 from packetloom.operators.netflow_sets import data_sets, frame, options_template_sets, template_sets
 from packetloom.operators.sflow import read_headers, read_samples
-from packetloom.plans.tables import join_small
+from packetloom.plans.tables import join_small, settle
 from packetloom.plans.union import errors_of, flows_of
 from packetloom.sources.sinks import distribute, flows_to_json, flows_to_messages, flows_to_text, write_flow_table, write_messages
 from tests.wire import (fset, flow_sample, ipfix, netflow5, packets, record5, sflow, switch, template, tlv, v4, v9,
@@ -123,5 +123,5 @@ def test_prefixes_and_small_joins(spark):
     assert got == {n: want for n, _, want in addresses}
     big, small = spark.range(100).withColumn("k", F.col("id") % 7), spark.range(5).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     for limit in (1 << 20, 0):  # broadcast and shuffle give the same
-        joined = join_small(big, small, ["k"], F.lit(16), limit=limit)
+        joined = join_small(big, settle(small), ["k"], limit=limit)
         assert joined.count() == 100 and joined.where("v IS NULL").count() == 28

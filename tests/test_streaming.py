@@ -4,9 +4,11 @@ import struct
 from pyspark.sql import functions as F
 
 from packetloom.operators.netflow_flows import flows_from_netflow
+from packetloom.operators.netflow_state import RATE_VALUE, compacted
 from packetloom.schema import FLOW_COLUMNS, PACKET_SCHEMA
 from packetloom.sources.packets import read_packet_stream
-from packetloom.streaming.netflow import start_netflow, to_parquet
+
+from packetloom.streaming.netflow import RATE_HISTORY, netflow_batch, start_netflow, to_parquet
 from packetloom.streaming.windows import late_batch, read_rollup, rollup_batch, start_sessions
 from tests.wire import T0, fset, packets, template, v9, v9_options
 
@@ -38,10 +40,45 @@ def test_stream_gives_the_flows_of_the_table(spark, tmp_path):
     assert key(got) == want == key(flows_from_netflow(table))
     errors = spark.read.parquet(str(tmp_path / "errors")).collect()
     assert [(r.packet_id, r.error) for r in errors] == [(0, "template_not_found")]
-    history = spark.read.parquet(str(tmp_path / "state" / "templates"))
+    # the third micro-batch announces no template, so it writes no snapshot
+    versions = sorted(p.name for p in (tmp_path / "state" / "templates").iterdir())
+    assert versions == ["version=0", "version=1"]
+    history = spark.read.parquet(str(tmp_path / "state" / "templates" / "version=1"))
     assert history.groupBy("template_id").count().orderBy("template_id").collect() == [(300, 2), (400, 1)]
 
 
+def test_a_late_packet_leaves_the_history_of_a_table(spark, tmp_path):
+    one, two = fset(0, template(300, [(1, 4)])), fset(0, template(300, [(2, 4)]))
+    options = fset(1, v9_options(400, [], [(34, 4)]))
+
+    def rate(n):
+        return fset(400, struct.pack(">I", n))
+    sent = [v9(one, options, rate(10)), v9(two, rate(20)), v9(one, rate(10)), v9(fset(300, b"\0\0\0\5")), v9(one, rate(10)),
+            v9(fset(300, b"\0\0\0\6")), v9(fset(300, b"\0\0\0\7"))]
+    table = packets(spark, sent)
+    # packet 1 comes in last but one, between equal announcements
+    batches = [[0, 2, 4], [1], [3, 5, 6]]
+    got = []
+    run = netflow_batch(str(tmp_path), lambda df, _: got.extend(
+        map(tuple, df.select("packet_id", "Bytes", "Packets", "SamplingRate").collect())))
+    for i, ids in enumerate(batches):
+        run(table.where(F.col("packet_id").isin(ids)), i)
+    want = sorted(map(tuple, flows_from_netflow(table).select("packet_id", "Bytes", "Packets", "SamplingRate").collect()))
+    assert sorted(got) == want == [(3, 5, 0, 10), (5, 6, 0, 10), (6, 7, 0, 10)]
+    # a batch that is run again gives the same; two snapshots are kept
+    again = []
+    netflow_batch(str(tmp_path), lambda df, _: again.extend(df.select("packet_id").collect()))(
+        table.where(F.col("packet_id").isin(batches[2])), 2)
+    assert len(again) == 3
+
+
+def test_histories_before_the_horizon_keep_changes_only(spark):
+    rows = [("r", 9, 1, t * 10, t, 5 if t < 4 else 6) for t in range(10)]
+    history = spark.createDataFrame(rows, RATE_HISTORY)
+    kept = compacted(history, *RATE_VALUE, ["t", "packet_id"], 25).orderBy("t").collect()
+    assert [(r.t, r.rate) for r in kept] == [(0, 5), (40, 6), (70, 6), (80, 6), (90, 6)]
+
+
 def flows(spark, path, batches):
     """Write (key, seconds, bytes) rows, one file per batch, and read them as a stream."""
     schema = "user string, event_time timestamp, Bytes bigint, Packets bigint, SamplingRate bigint"
