@@ -151,8 +151,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
         "same", F.struct("doc_id", "n", "lead", "prefix", *sketch).alias("s"))
     reps = settled(small.groupBy("same").agg(F.min_by("s", "s.doc_id").alias("s")).select(
         "same", F.col("s.doc_id").alias("rep"), *[f"s.{c}" for c in ("n", "lead", "prefix", *sketch)]))
-    listed = reps.select("rep", "n", *sketch, "lead", "prefix", F.posexplode("prefix").alias("k", "token")).select(
-        "token", F.struct("rep", "n", (F.col("lead") + F.col("k")).alias("pos"), "prefix", *sketch).alias("a"))
+    listed = reps.select("rep", "n", *sketch, "lead", F.posexplode("prefix").alias("k", "token")).select(
+        "token", F.struct("rep", "n", (F.col("lead") + F.col("k")).alias("pos"), *sketch).alias("a"))
     # one set of each list, another one in each list, is answered first
     first = listed.groupBy("token").agg(F.count("*").alias("m"), F.min_by("a", F.xxhash64("token", "a.rep")).alias("b"))
     listed = settled(listed.join(first.where("m > 1"), "token"))
@@ -170,14 +170,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
         "token", "a", F.coalesce("component", "a.rep").alias("c"))
     open_lists = labelled.groupBy("token").agg(F.count("*").alias("m"), F.min("c").alias("c0"), F.max("c").alias("c1"))
     open_lists = open_lists.where("c0 < c1").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = settled(labelled.join(open_lists, "token"))
+    rows = settled(labelled.join(open_lists, "token").join(reps.select(F.col("rep").alias("_rep"), "prefix"),
+                                                           F.col("a.rep") == F.col("_rep")).drop("_rep"))
     own = F.pmod(F.xxhash64("a.rep"), F.col("blocks")).cast("int")
     spread = rows.withColumn("_own", own).withColumn("_t", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.select("token", "a", "c", "_own", F.least("_own", "_t").alias("i"), F.greatest("_own", "_t").alias("j"))
-    left = spread.where("_own = i").select("token", "i", "j", "a", "c")
-    right = spread.where("_own = j").select("token", "i", "j", F.col("a").alias("b"), F.col("c").alias("d"))
+    spread = spread.select("token", "a", "c", "prefix", "_own", F.least("_own", "_t").alias("i"), F.greatest("_own", "_t").alias("j"))
+    left = spread.where("_own = i").select("token", "i", "j", "a", "c", "prefix")
+    right = spread.where("_own = j").select("token", "i", "j", F.col("a").alias("b"), F.col("c").alias("d"),
+                                            F.col("prefix").alias("other"))
     # a pair is looked at in the first list that holds both
-    first_of_both = F.get(F.array_intersect("a.prefix", "b.prefix"), F.lit(0)) == F.col("token")
+    first_of_both = F.get(F.array_intersect("prefix", "other"), F.lit(0)) == F.col("token")
     across = left.join(right, ["token", "i", "j"]).where((F.col("c") != F.col("d")) & _possible(percent) & (
         (F.col("i") < F.col("j")) | (F.col("a.rep") < F.col("b.rep"))) & first_of_both)
     more = _verified(_pairs(across), sets, percent)
