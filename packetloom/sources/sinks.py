@@ -38,10 +38,14 @@ def write_messages(messages: DataFrame, fmt: str = "parquet", path: str | None =
     writer.save(path) if path else writer.save()
 
 
-def write_flow_table(flows: DataFrame, path: str, mode: str = "append") -> None:
-    """Flow table partitioned by receive date and flow type, for pruning."""
-    dated = flows.withColumn("date", F.to_date(F.timestamp_seconds("TimeReceived")))
-    dated.withColumn("flow_type", F.col("Type")).write.mode(mode).partitionBy("date", "flow_type").parquet(path)
+def write_flow_table(flows: DataFrame, path: str, mode: str = "append", files: int = 8) -> None:
+    """Flow table partitioned by receive date and flow type, for pruning; at most ``files`` files in each partition.
+
+    Rows are spread by partition and a salt first. Without that every task would open a file in every partition.
+    """
+    dated = flows.withColumn("date", F.to_date(F.timestamp_seconds("TimeReceived"))).withColumn("flow_type", F.col("Type"))
+    salt = F.pmod(F.xxhash64("SequenceNum", "SrcAddr", "DstAddr", "SrcPort", "DstPort"), F.lit(files))
+    dated.repartition("date", "flow_type", salt).write.mode(mode).partitionBy("date", "flow_type").parquet(path)
 
 
 def register_flows(flows: DataFrame, name: str = "flows") -> None:

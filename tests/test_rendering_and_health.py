@@ -125,3 +125,33 @@ def test_prefixes_and_small_joins(spark):
     for limit in (1 << 20, 0):  # broadcast and shuffle give the same
         joined = join_small(big, settle(small), ["k"], limit=limit)
         assert joined.count() == 100 and joined.where("v IS NULL").count() == 28
+
+
+def test_sessions_over_slots_equal_one_pass(spark):
+    import random
+    rng = random.Random(4)
+    rows, t = [], {"hot": 0, "cold": 0, None: 0}
+    for _ in range(400):
+        k = rng.choice(["hot", "hot", "hot", "cold", None])
+        t[k] += rng.choice([1, 60, 299, 300, 301, 3000, 7300])
+        rows.append((k, t[k]))
+    rows += rows[:20]
+    flows = spark.createDataFrame(rows, "user string, s long").selectExpr(
+        "user", "timestamp_seconds(s) AS event_time", "s AS Bytes", "1L AS Packets", "2L AS SamplingRate")
+    want = []
+    for k in t:
+        last = None
+        for s in sorted(s for u, s in rows if u == k):
+            if last is None or s > last + 300:
+                want.append([k, s, s, 0, 0])
+            want[-1][2], want[-1][3], want[-1][4] = s + 300, want[-1][3] + 2 * s, want[-1][4] + 1
+            last = s
+    got = analytics.session_volume(flows, ["user"]).selectExpr(
+        "user", "unix_seconds(session_start) AS a", "unix_seconds(session_end) AS b", "bytes", "flows").collect()
+    assert sorted(map(str, [[r.user, r.a, r.b, int(r.bytes), r.flows] for r in got])) == sorted(map(str, want))
+
+
+def test_a_dictionary_that_repeats_a_key_does_not_multiply_flows(spark):
+    flows = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "k int, v int")
+    dictionary = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k int, name string")
+    assert sorted(map(tuple, analytics.enrich(flows, dictionary, ["k"]).collect())) == [(1, 10, "b"), (2, 20, "c"), (3, 30, None)]

@@ -134,7 +134,7 @@ def test_records_fold_in_order(spark):
         ([gateway(v4("8.8.8.8"), 1, 2, [5], path_length=400)], {"NextHop": "<nil>", "DstAS": 0}),
         ([gateway(v4("8.8.8.8"), 1, 2, [5]), gateway(v4("7.7.7.7"), 3, 4, [6], path_length=400)],
          {"NextHop": "8.8.8.8", "DstAS": 5, "SrcAS": 1}),
-        ([gateway(v4("8.8.8.8"), 1, 2, [5]), gateway(v4("7.7.7.7"), 3, 4, [])], {"NextHop": "7.7.7.7", "DstAS": 3}),
+        ([gateway(v4("8.8.8.8"), 1, 2, [5]), gateway(v4("7.7.7.7"), 3, 4, [])], {"NextHop": "7.7.7.7", "DstAS": 3, "SrcAS": 4, "NextHopAS": 5}),
         ([switch(n, n) for n in range(1, 7)], {"SrcVlan": 6}),           # more records than are unrolled
         ([tlv(1001, b"short"), switch(5, 6)], {"SrcVlan": 5}),           # a cut record is skipped
         ([tlv(77, bytes(20)), switch(5, 6)], {"SrcVlan": 5}),            # so is an unknown one
