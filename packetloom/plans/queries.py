@@ -157,6 +157,32 @@ def _(spark, sf_dir):
 TIME_UNITS = {150: (4, 1), 152: (8, 1000), 154: (8, 1_000_000), 156: (8, 1_000_000_000)}
 
 
+@register("v9_template_behind_missing", f"""{LI} SELECT {EXPORTER} AS router, CAST(sum(octets) AS BIGINT) AS bytes,
+    count(*) AS flows FROM li WHERE sk % 5 <> 0 GROUP BY 1""")
+def _(spark, sf_dir):
+    # their templates stand behind a set without one, so a fifth of the exporters never has any
+    flows = flows_from_netflow(rt.netflow_packets(spark, sf_dir, 9, hidden=True), sampling_rate=1)
+    return flows.groupBy(ip_text(F.col("SamplerAddress")).alias("router")).agg(
+        F.sum("Bytes").cast("bigint").alias("bytes"), F.count("*").alias("flows"))
+
+
+@register("v9_null_times", f"""{LI} SELECT {EXPORTER} AS router, CAST(sum(octets) AS BIGINT) AS bytes, count(*) AS flows
+    FROM li GROUP BY 1""")
+def _(spark, sf_dir):
+    # without receive times the packet number alone says that templates come first
+    sent = rt.netflow_packets(spark, sf_dir, 9, fields=rt.flow_fields(9, False)).withColumn(
+        "recv_time", F.lit(None).cast("timestamp")).repartition(5, F.xxhash64("packet_id"))
+    return flows_from_netflow(sent, sampling_rate=1).groupBy(ip_text(F.col("SamplerAddress")).alias("router")).agg(
+        F.sum("Bytes").cast("bigint").alias("bytes"), F.count("*").alias("flows"))
+
+
+@register("v9_constant_rate", f"""{LI} SELECT {EXPORTER} AS router, CAST(7 AS BIGINT) AS rate, count(*) AS flows FROM li GROUP BY 1""")
+def _(spark, sf_dir):
+    flows = flows_from_netflow(rt.netflow_packets(spark, sf_dir, 9), sampling_rate=7)
+    return flows.groupBy(ip_text(F.col("SamplerAddress")).alias("router"), F.col("SamplingRate").alias("rate")).agg(
+        F.count("*").alias("flows"))
+
+
 @register("ipfix_times", "\nUNION ALL\n".join(f"""SELECT {start} AS unit_field, CAST(l_orderkey AS BIGINT) AS src_mac,
     CAST(1700000000 - l_orderkey % 1000 AS BIGINT) AS time_start, CAST(1700000000 - l_orderkey % 100 AS BIGINT) AS time_end
     FROM lineitem""" for start in TIME_UNITS))
@@ -492,6 +518,14 @@ def _(spark, sf_dir):
     return distribute(messages, 8, keyed=True)
 
 
+@register("messages_by_partition", f"""{LI} SELECT {KEY_SQL} AS key, count(*) AS messages, CAST(1 AS BIGINT) AS partitions
+    FROM li GROUP BY 1""")
+def _(spark, sf_dir):
+    messages = flows_to_messages(v5_flows(spark, sf_dir), key=["SamplerAddress", "DstAS"], value=render.json_line("Bytes"))
+    placed = distribute(messages, 8, keyed=True).withColumn("partition", F.spark_partition_id())
+    return placed.groupBy("key").agg(F.count("*").alias("messages"), F.countDistinct("partition").alias("partitions"))
+
+
 @register("flows_sql_view", f"""{LI} SELECT {big('proto')} AS Proto, {big(DPORT)} AS DstPort,
     CAST(sum(octets) AS BIGINT) AS bytes FROM li GROUP BY 1, 2""")
 def _(spark, sf_dir):

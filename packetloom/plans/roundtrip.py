@@ -128,25 +128,36 @@ def _packet_rows(rows: DataFrame, version: int, channel: str = NETFLOW) -> DataF
                        F.col("recv_time"))
 
 
-def _setup_packets(spark: SparkSession, sf_dir: str, version: int, narrow, wide) -> DataFrame:
+def _hiding(template: Column, hidden: bool) -> tuple[Column, Column]:
+    """A template set, behind a set without a template for exporters divisible by five; and how many sets that is."""
+    if not hidden:
+        return template, F.lit(1)
+    fifth = F.col("sk") % 5 == 0
+    lost = set_hex(UNKNOWN_TEMPLATE, F.lit("00000000"))
+    return F.concat(F.when(fifth, lost).otherwise(""), template), 1 + fifth.cast("int")
+
+
+def _setup_packets(spark: SparkSession, sf_dir: str, version: int, narrow, wide, hidden: bool = False) -> DataFrame:
     """Two packets per exporter: template, options template and rate at the start, both changed once later."""
     exporters = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sk"))
 
-    def at(time, rate, *sets):
+    def at(time, rate, template, *sets):
+        announced, count = _hiding(template, hidden)
         told = set_hex(OPTIONS_TEMPLATE, F.concat(be_hex(1, 4), be_hex(rate, 4)))
         return exporters.select(
             (-1 - F.col("sk")).alias("number"), "sk", F.lit(time).cast("timestamp").alias("recv_time"),
-            F.concat(*sets, told).alias("sets"), F.lit(len(sets) + 1).alias("set_count"))
+            F.concat(announced, *sets, told).alias("sets"), (count + len(sets) + 1).alias("set_count"))
 
     return _packet_rows(at(START, FIRST_RATE, _template_set(version, DATA_TEMPLATE, narrow), _options_set(version))
                         .unionByName(at(CHANGE, SECOND_RATE, _template_set(version, DATA_TEMPLATE, wide))), version)
 
 
-def netflow_packets(spark: SparkSession, sf_dir: str, version: int, fields=None, missing: bool = False) -> DataFrame:
+def netflow_packets(spark: SparkSession, sf_dir: str, version: int, fields=None, missing: bool = False,
+                    hidden: bool = False) -> DataFrame:
     """v9 / IPFIX packets of ``lineitem``: one template that changes its layout once, repeated every January.
 
     ``fields`` replaces the record by one fixed layout. ``missing`` adds a set without a template to every
-    packet of an exporter whose number is divisible by five.
+    packet of an exporter whose number is divisible by five. ``hidden`` puts such a set before their templates only.
     """
     narrow = fields or flow_fields(version, False)
     wide = fields or flow_fields(version, True)
@@ -156,15 +167,16 @@ def netflow_packets(spark: SparkSession, sf_dir: str, version: int, fields=None,
     groups = gather_records(rows, ["sk", "recv_time", "block"], ["ok", "ln", "pk"], "rec", RECORDS_PER_PACKET)
     template = F.when(changed, _template_set(version, DATA_TEMPLATE, wide)).otherwise(
         _template_set(version, DATA_TEMPLATE, narrow))
+    template, template_sets = _hiding(template, hidden)
     repeat = F.month("recv_time") == 1
     lost = (F.col("sk") % 5 == 0) if missing else F.lit(False)
     sets = F.concat(F.when(repeat, template).otherwise(""), set_hex(DATA_TEMPLATE, F.array_join("records", "")),
                     F.when(lost, set_hex(UNKNOWN_TEMPLATE, F.lit("00000000"))).otherwise(""))
     number = packet_number(F.col("sk"), F.col("recv_time"), F.col("block"), F.col("slice_no"))
     data = _packet_rows(groups.select(number.alias("number"), "sk", "recv_time", sets.alias("sets"), (
-        1 + repeat.cast("int") + lost.cast("int")).alias("set_count")), version)
+        1 + F.when(repeat, template_sets).otherwise(0) + lost.cast("int")).alias("set_count")), version)
     # the packets are read several times (templates, rates, records), as a captured table would be
-    return settle(_setup_packets(spark, sf_dir, version, narrow, wide).unionByName(data))
+    return settle(_setup_packets(spark, sf_dir, version, narrow, wide, hidden).unionByName(data))
 
 
 # --- sFlow ------------------------------------------------------------------------------------------------------
