@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from packetloom.llm.byte_convnet import keep_good
+from packetloom.llm.components import shared_folder
 from packetloom.llm.jaccard_join import keep_one
 from packetloom.llm.packing import pack
 from packetloom.llm.pseudonyms import pseudonymised
@@ -49,9 +50,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored(spark: SparkSession, docs: DataFrame, name: str) -> DataFrame:
     """Written in the folder that ``spark.checkpoint.dir`` names, and read again; each run has its own place."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    path = f"{folder}/pipeline-{uuid.uuid4().hex}/{name}"
+    path = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}/{name}"
     docs.write.parquet(path)
     return spark.read.parquet(path)

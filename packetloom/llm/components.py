@@ -2,17 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import tempfile
+from functools import lru_cache
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="packetloom-shared-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names. Where it is unset, as in tests on one machine, one of its own;
+    on a cluster there is no such folder, and the setting is asked for."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return folder or _own_folder()
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage in the shared folder that ``spark.checkpoint.dir`` names."""
+    """Compute once and cut the lineage in the shared folder."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        spark.sparkContext.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
 
 
