@@ -61,7 +61,7 @@ def main() -> None:
         "v9_resolve_decode": lambda: flows_from_netflow(v9),
         "v9_bytes_by_router": lambda: flows_from_netflow(v9).groupBy("SamplerAddress").agg(F.sum("Bytes")),
         "sflow_decode": lambda: flows_from_sflow(sf),
-        "sflow_samples": lambda: health.sflow_samples(sflow.read_headers(sf), sflow.read_samples(sflow.read_headers(sf))),
+        "sflow_samples": lambda: health.sflow_samples(sflow.read_headers(sf)),
         "session_rollup": lambda: analytics.session_volume(events, ["user_id"]),
         "lpm": lambda: analytics.longest_prefix_match(netflow5.flows_from_netflow5(v5), prefixes, "SrcAddr").groupBy(
             "asn").agg(F.sum("Bytes")),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from packetloom.functions.text import ip_text
 from packetloom.operators.netflow_state import record_count
-from packetloom.operators.sflow import SAMPLE_NAMES
+from packetloom.operators.sflow import SAMPLE_NAMES, read_samples
 from packetloom.plans.tables import unnest
 from packetloom.schema import IPFIX, NETFLOW_V9
 from packetloom.sources.packets import CHANNEL_PORT, router_key
@@ -125,21 +125,28 @@ def sflow_errors(headers: DataFrame) -> DataFrame:
     return headers.where("error IS NOT NULL").groupBy("router", "error").agg(F.count("*").alias("packets"))
 
 
-def sflow_samples(headers: DataFrame, samples: DataFrame) -> DataFrame:
-    """Samples and the records they declare; declared samples that were not decoded count as ``unknown``."""
-    keys = ["router", "agent", "version", "type"]
-    kind = F.lit(None).cast("string")
+def sflow_samples(headers: DataFrame) -> DataFrame:
+    """Samples and the records they declare; declared samples that were not decoded count as ``unknown``.
+
+    One pass: every accepted packet gets one more item that stands for what its header declares. Counts per exporter and
+    type come first, the difference is taken of those few rows.
+    """
+    keys = ["router", "agent", "version"]
+    kind = F.when(F.col("sample_idx") < 0, "declared")
     for fmt, name in SAMPLE_NAMES.items():
-        kind = F.when(F.col("format") == fmt, name).otherwise(kind)
-    agent = ip_text(F.col("agent")).alias("agent")
-    decoded = samples.where("decoded").select(
-        "router", agent, F.lit(5).alias("version"), kind.alias("type"), F.lit(1).cast("bigint").alias("samples"),
-        F.col("record_count").alias("records"))
-    declared = headers.where("error IS NULL").select(
-        "router", agent, F.lit(5).alias("version"), F.lit("unknown").alias("type"),
-        F.col("sample_count").alias("samples"), F.lit(0).cast("bigint").alias("records"))
-    negative = decoded.select("router", "agent", "version", F.lit("unknown").alias("type"),
-                              (-F.col("samples")).alias("samples"), F.lit(0).cast("bigint").alias("records"))
-    return decoded.unionByName(declared).unionByName(negative).groupBy(*keys).agg(
-        F.sum("samples").cast("bigint").alias("samples"), F.sum("records").cast("bigint").alias("records")).where(
+        kind = kind.when(F.col("decoded") & (F.col("format") == fmt), name)
+    whole = F.struct(F.lit(-1).alias("idx"), F.lit(0).cast("bigint").alias("fmt"), F.lit(0).alias("pos"), F.lit(0).alias("len"))
+    # the declared number travels in the place of the sequence number, which is not asked for here
+    rows = read_samples(headers.where("error IS NULL").withColumn("sequence", F.col("sample_count")).withColumn(
+        "samples", F.concat("samples", F.array(whole))))
+    counts = rows.select("router", ip_text(F.col("agent")).alias("agent"), F.lit(5).alias("version"), kind.alias("type"), F.when(
+        F.col("sample_idx") < 0, F.col("sequence")).otherwise(1).cast("bigint").alias("samples"), F.when(
+        F.col("sample_idx") < 0, 0).otherwise(F.col("record_count")).cast("bigint").alias("records")).where(
+        "type IS NOT NULL").groupBy(*keys, "type").agg(F.sum("samples").alias("samples"), F.sum("records").alias("records"))
+    declared = F.col("type") == "declared"
+    parts = F.array(F.struct(F.when(declared, "unknown").otherwise(F.col("type")).alias("type"), "samples", "records"),
+                    F.struct(F.lit("unknown").alias("type"), F.when(declared, 0).otherwise(-F.col("samples")).cast(
+                        "bigint").alias("samples"), F.lit(0).cast("bigint").alias("records")))
+    return counts.select(*keys, F.explode(parts).alias("p")).groupBy(*keys, "p.type").agg(
+        F.sum("p.samples").cast("bigint").alias("samples"), F.sum("p.records").cast("bigint").alias("records")).where(
         (F.col("type") != "unknown") | (F.col("samples") > 0))

@@ -638,7 +638,7 @@ def _(spark, sf_dir):
     count(*) * 2 AS records FROM li GROUP BY 1, 4""")
 def _(spark, sf_dir):
     headers = sflow.read_headers(rt.sflow_packets(spark, sf_dir, [rt.switch_hex(), rt.router_hex()]))
-    return health.sflow_samples(headers, sflow.read_samples(headers))
+    return health.sflow_samples(headers)
 
 
 @register("errors_split", f"""{LI}{PACKETS_SQL.format(per=24)} SELECT 'NetFlow' AS channel, 'template_not_found' AS error,

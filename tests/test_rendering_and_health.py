@@ -12,7 +12,7 @@ from packetloom.operators.describe import describe_packets, template_listing
 from packetloom.operators.netflow5 import flows_from_netflow5
 from packetloom.operators.netflow_flows import resolve
 from packetloom.operators.netflow_sets import data_sets, frame, options_template_sets, template_sets
-from packetloom.operators.sflow import read_headers, read_samples
+from packetloom.operators.sflow import read_headers
 from packetloom.plans.tables import join_small, settle
 from packetloom.plans.union import errors_of, flows_of
 from packetloom.sources.sinks import distribute, flows_to_json, flows_to_messages, flows_to_text, write_flow_table, write_messages
@@ -97,7 +97,7 @@ def test_netflow_health_and_description(spark):
 def test_sflow_sample_health(spark):
     sent = [sflow(flow_sample(switch(1, 2), count=7), tlv(1, b"cut"), count=5), b"\0"]
     headers = read_headers(packets(spark, sent, "sFlow"))
-    got = {(r.type, r.samples, r.records) for r in health.sflow_samples(headers, read_samples(headers)).collect()}
+    got = {(r.type, r.samples, r.records) for r in health.sflow_samples(headers).collect()}
     assert got == {("FlowSample", 1, 7), ("unknown", 4, 0)}
 
 
