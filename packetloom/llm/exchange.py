@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -24,22 +25,29 @@ from pyspark.sql import DataFrame, functions as F
 
 from packetloom.llm.words import mix
 
-BATCH_BYTES = 4 << 20
-#: Text bytes for each key range.
-RANGE_BYTES = 10 << 20
+#: Text bytes of a batch, and text bytes for each key range. Both grow with a very large corpus, so that what a batch sends
+#: to a range does not become a few bytes; the upper ends are what a task can hold.
+BATCH_BYTES, BATCH_MOST, CORPUS_BATCHES = 4 << 20, 64 << 20, 1 << 16
+RANGE_BYTES, RANGE_MOST, CORPUS_RANGES = 10 << 20, 256 << 20, 1 << 12
 #: Bits of a key by the bytes it takes on the way: with some 10**5 keys in a batch, the rest follows from their order.
 BITS = {4: 48, 6: 64}
 ASKED = "b long, p int, crc long, n int, blob binary"
 KEPT = "b long, crc long, docs binary"
 
 
-def ranges(docs: DataFrame, column: str) -> int:
-    """Number of key ranges for a corpus: in proportion to its bytes."""
+class Plan(NamedTuple):
+    """Into how many key ranges a corpus is dealt, and how many bytes of text a batch has."""
+    parts: int
+    batch: int
+
+
+def plan(docs: DataFrame, column: str) -> Plan:
     total = docs.agg(F.sum(F.octet_length(column))).first()[0] or 0
-    return max(8, -(-total // RANGE_BYTES))
+    a_range = min(RANGE_MOST, max(RANGE_BYTES, total // CORPUS_RANGES))
+    return Plan(max(8, -(-total // a_range)), min(BATCH_MOST, max(BATCH_BYTES, total // CORPUS_BATCHES)))
 
 
-def in_batches(frames: Iterator[pa.RecordBatch], column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def in_batches(frames: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``size`` bytes of text."""
     for frame in frames:
         if not frame.num_rows:
@@ -53,9 +61,9 @@ def in_batches(frames: Iterator[pa.RecordBatch], column: str, size: int = BATCH_
             at = to
 
 
-def _numbered(frames, column) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+def _numbered(frames, column, size) -> Iterator[tuple[int, int, pa.RecordBatch]]:
     base = TaskContext.get().partitionId() << 24
-    for k, batch in enumerate(in_batches(frames, column)):
+    for k, batch in enumerate(in_batches(frames, column, size)):
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
         yield base + k, zlib.crc32(sizes.tobytes()), batch
 
@@ -89,13 +97,15 @@ def _unpacked(blob: bytes, n: int, width: int) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint64)
 
 
-def ask(docs: DataFrame, column: str, keys_of: Callable, parts: int, width: int) -> DataFrame:
+def ask(docs: DataFrame, column: str, keys_of: Callable, how: Plan, width: int) -> DataFrame:
     """Questions: ``keys_of(text array)`` gives sorted distinct keys and how often (up to 255) each is in the batch.
 
     ``width`` is the number of bytes a key takes on the way: 4 for keys of 48 bits, 6 for keys of 64.
     """
+    parts = how.parts
+
     def run(frames):
-        for b, crc, batch in _numbered(frames, column):
+        for b, crc, batch in _numbered(frames, column, how.batch):
             keys, counts = keys_of(batch.column(column))
             at = cuts(keys, parts, BITS[width])
             rows = [(p, at[p], at[p + 1]) for p in range(parts) if at[p + 1] > at[p]]
@@ -147,10 +157,10 @@ def shared(keys: np.ndarray, answers: pd.DataFrame, parts: int, width: int) -> t
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 
-def meet(docs: DataFrame, column: str, answers: DataFrame, back: Callable, schema: str) -> DataFrame:
+def meet(docs: DataFrame, column: str, answers: DataFrame, back: Callable, how: Plan, schema: str) -> DataFrame:
     """``back(record batch of documents, answers of the batch)`` for every batch; it returns a table of ``schema``."""
     def pack(frames):
-        for b, crc, batch in _numbered(frames, column):
+        for b, crc, batch in _numbered(frames, column, how.batch):
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_batch(batch)

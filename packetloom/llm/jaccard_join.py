@@ -143,9 +143,9 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     give repeated rows of the result. An empty table gives an empty one.
     """
     docs = docs.select("doc_id", "text")
-    parts = exchange.ranges(docs, "text")
-    answers = exchange.answer(exchange.ask(docs, "text", _keys(shingle), parts, 4), 4, signatures=False)
-    found = settled(exchange.meet(docs, "text", answers, _sets(parts, shingle, percent), FOUND))
+    how = exchange.plan(docs, "text")
+    answers = exchange.answer(exchange.ask(docs, "text", _keys(shingle), how, 4), 4, signatures=False)
+    found = settled(exchange.meet(docs, "text", answers, _sets(how.parts, shingle, percent), how, FOUND))
     sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
     small = found.where(F.col("same").isNotNull() & F.col("doc_id").isNotNull()).select(
         "same", F.struct("doc_id", "n", "lead", "prefix", *sketch).alias("s"))

@@ -142,9 +142,9 @@ def repeated_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     each other's windows. An empty table gives an empty one.
     """
     keyed = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("row_key"))
-    parts = exchange.ranges(keyed, "text")
-    answers = exchange.answer(exchange.ask(keyed, "text", _keys(width), parts, 6), 6, signatures=True)
-    found = settled(exchange.meet(keyed, "text", answers, _passages(parts, width), FOUND))
+    how = exchange.plan(keyed, "text")
+    answers = exchange.answer(exchange.ask(keyed, "text", _keys(width), how, 6), 6, signatures=True)
+    found = settled(exchange.meet(keyed, "text", answers, _passages(how.parts, width), how, FOUND))
     wrong = settled(found.select(F.explode("paths").alias("p")).groupBy("p.first", "p.n").agg(
         F.min("p.digest").alias("a"), F.max("p.digest").alias("b")).where("a <> b").select("first", "n"))
     if not wrong.isEmpty():
