@@ -19,7 +19,7 @@ from operator import add
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 MARK = "▁"
 #: Up to so many characters the best pair is found by a scan, beyond it by a heap.
 SHORT, INFINITE = 48, float("inf")
