@@ -104,13 +104,13 @@ def luhn_digit(body: str) -> int:
     return -total % 10
 
 
-def _number(f: Feistel, value: str, back: bool) -> str:
-    """All digits but the last are permuted; the last keeps its distance from the Luhn digit, so a valid number stays
-    valid."""
+def _number(f: Feistel, value: str, back: bool) -> str | None:
+    """All digits but the last are permuted; the last is the Luhn digit again, so a valid number stays valid."""
     digits = re.sub(r"\D", "", value)
-    distance = (int(digits[-1]) - luhn_digit(digits[:-1])) % 10
+    if int(digits[-1]) != luhn_digit(digits[:-1]):
+        return None
     body = f.text("number", digits[:-1], back)
-    new = iter(body + str((luhn_digit(body) + distance) % 10))
+    new = iter(body + str(luhn_digit(body)))
     return re.sub(r"\d", lambda _: next(new), value)
 
 
@@ -166,24 +166,25 @@ def _hex(f: Feistel, value: str, back: bool) -> str:
 
 
 def replace(f: Feistel, text: str, back: bool = False) -> tuple[str, int]:
-    """The text with every validated value replaced, and how many there were."""
-    count = 0
+    """The text with every validated value replaced, and how many there were.
 
-    def new(m: re.Match) -> str:
-        nonlocal count
+    A number that fails the Luhn sum stays, and the search goes on behind its first group: a valid one may begin there.
+    """
+    parts, count, done, at = [], 0, 0, 0
+    while m := PATTERN.search(text, at):
         kind, value = m.lastgroup, m[0]
         if m["secret"] is not None:
-            at = m.start("key") - m.start()
-            out = value[:at] + _hex(f, m["key"], back)
+            out = value[:m.start("key") - m.start()] + _hex(f, m["key"], back)
         else:
             out = {"email": _email, "hex": _hex, "iban": _iban, "ip": _ip, "date": _date, "phone": _phone,
                    "number": _number, "ssn": lambda f, v, b: f.text("ssn", v, b)}[kind](f, value, back)
-        if out is None:
-            return value
-        count += 1
-        return out
-
-    return PATTERN.sub(new, text), count
+        at = m.end()
+        if out is not None:
+            parts += [text[done:m.start()], out]
+            count, done = count + 1, at
+        elif kind == "number":
+            at = m.start() + len(re.match(r"\d+", value)[0])
+    return "".join([*parts, text[done:]]), count
 
 
 @lru_cache(maxsize=4)
