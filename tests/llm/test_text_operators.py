@@ -250,6 +250,17 @@ def test_pseudonymised_rows(spark, odd, documents):
     assert by_row(got) == by_row((i, t and pseudonyms.replace(own, t)[0]) for i, t in texts_of(documents))
 
 
+def test_rows_are_replaced_whatever_else_the_text_holds(spark):
+    own = pseudonyms.Feistel(b"k")
+    texts = ["password: correct-horse", "password: correct-horse 1", "abcdefab" * 4, "\u0661\u0662\u0663-\u0664\u0665-\u0666\u0667\u0668\u0669", "plain", ""]
+    rows = [(t, *pseudonyms.replace(own, t)) for t in texts]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = docs.selectExpr("text AS old", "text").transform(pseudonyms.pseudonymised, b"k", counted="n").collect()
+    assert by_row(got) == by_row(rows)
+    new = {r.old: r.text for r in got}
+    assert new[texts[1]] == new[texts[0]] + " 1" and new[texts[0]] != texts[0] and new[texts[2]] != texts[2]
+
+
 def test_license_notices(spark, odd):
     lines = {1: ("Good words.\nReleased under the MIT License.\nMore.", "MIT", True),
              2: ("THIS WORK IS LICENSED UNDER THE GNU GENERAL PUBLIC LICENSE, VERSION 3.", "GPL-3.0", True),
