@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from packetloom.llm import exchange
-from packetloom.llm.components import components, settled
+from packetloom.llm.components import components, fresh, settled
 from packetloom.llm.words import Texts, slices, window_hashes
 
 PERCENT, SHINGLE = 85, 4
@@ -200,8 +200,27 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` without all but the smallest doc_id of every component; all columns stay, whatever their names.
+    """One row of every component of ``docs``, the one with the smallest doc_id; all columns stay, whatever their names.
 
-    Rows that repeat the kept doc_id stay together; rows with a null doc_id take no part and stay."""
-    gone = jaccard_components(docs, percent, shingle).where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    Every row takes part under a 64-bit key of its doc_id and text. So rows that repeat both are one row, which of
+    their other columns stay is open; a null doc_id is a document like any other and comes after all others; unlike texts
+    under one doc_id all stay.
+    """
+    name = fresh(docs, "_row_key")
+    keyed = docs.withColumn(name, F.xxhash64("doc_id", "text"))
+    rows = keyed.groupBy(F.col(name).alias("k")).agg(F.min("doc_id").alias("id"), F.count("*").alias("times"))
+    found = jaccard_components(keyed.select(F.col(name).alias("doc_id"), "text"), percent, shingle)
+    rows = rows.join(found.groupBy(F.col("doc_id").alias("k")).agg(F.min("component_id").alias("c")), "k")
+    first = rows.groupBy("c").agg(F.min(F.struct(F.isnull("id"), "id", "k")).alias("s"), F.count("*").alias("n"))
+    # keys that do not simply stay: those of other rows of a component, and those of repeated rows
+    marked = settled(rows.join(first.where("n > 1").select("c", F.col("s.k").alias("kept")), "c", "left").where(
+        "times > 1 or k <> kept").select(F.col("k").alias(name), F.expr("coalesce(k = kept, true)").alias("stays")))
+
+    def few(keys: DataFrame) -> DataFrame:
+        return F.broadcast(keys) if keys.count() <= FEW_SETS else keys
+
+    out = keyed.join(few(marked.select(name)), name, "left_anti")
+    repeated = marked.where("stays").select(name)
+    if not repeated.isEmpty():
+        out = out.unionByName(keyed.join(few(repeated), name, "left_semi").dropDuplicates([name]))
+    return out.drop(name)

@@ -125,6 +125,21 @@ def test_near_copies_that_link_only_in_chains(spark, monkeypatch):
         "doc_id", "text", "n", "component_id"]
 
 
+def test_repeated_rows_and_null_ids_leave_one_row_of_each_text(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
+    near = texts[4].replace("e7 ", "e7x ")
+    rows = [(1, texts[0]), (1, texts[0]), (2, texts[1]), (None, texts[1]), (None, texts[2]), (None, texts[2]),
+            (3, texts[3]), (3, texts[5]), (None, texts[4]), (4, near), (5, texts[4]), (6, None), (7, ""), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS k", "2 AS _row_key")
+    docs = jaccard_join.settled(docs)
+    kept = jaccard_join.keep_one(docs, percent=80, shingle=5)
+    assert kept.columns == docs.columns
+    kept = jaccard_join.settled(kept)
+    want = [(1, texts[0]), (2, texts[1]), (None, texts[2]), (3, texts[3]), (3, texts[5]), (4, near), (6, None), (7, "")]
+    assert by_row(texts_of(kept)) == by_row(want)
+    assert by_row(texts_of(substring_dedup.without_passages(kept))) == by_row(want)
+
+
 def brute_statistics(text):
     w = WORD.findall(text or "")
     windows = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
