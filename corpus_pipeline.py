@@ -14,13 +14,16 @@ from packetloom.llm.pseudonyms import pseudonymised
 from packetloom.llm.queries import PSEUDONYM_KEY, table, vocabulary
 from packetloom.llm.substring_dedup import without_passages
 
+#: Near copies share so many hundredths of their runs of so many words; op8's own defaults are another choice.
+NEAR_PERCENT, NEAR_WORDS = 80, 5
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return keep_one(docs)
+    return keep_one(docs, NEAR_PERCENT, NEAR_WORDS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

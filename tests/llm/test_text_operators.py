@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from packetloom.llm import decision_list, jaccard_join, license_scan, packing, pieces, pseudonyms, substring_dedup
 from packetloom.llm.queries import vocabulary
 
@@ -125,6 +126,22 @@ def test_near_copies_that_link_only_in_chains(spark, monkeypatch):
         "doc_id", "text", "n", "component_id"]
 
 
+def test_near_copies_stage_equals_brute_force(spark):
+    rows = []
+    for base, edits in enumerate((9, 7, 10)):  # five-word Jaccard 0.813, 0.853 and 0.794
+        words = [f"b{base}w{i}" for i in range(440)]
+        rows.append((2 * base, " ".join(words)))
+        for k in range(edits):
+            words[20 + k * 44 if edits < 10 else 20 + k * 40] = f"b{base}x{k}"
+        rows.append((2 * base + 1, " ".join(words)))
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    want = [r for j, r in enumerate(rows) if not any(
+        100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) for i in range(j))]
+    assert [i for i, _ in want] == [0, 2, 4, 5]
+    docs = jaccard_join.settled(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert by_row(texts_of(corpus_pipeline.near_copies(spark, docs, SMALL))) == by_row(want)
+
+
 def test_repeated_rows_and_null_ids_leave_one_row_of_each_text(spark):
     texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "abcdef"]
     near = texts[4].replace("e7 ", "e7x ")
