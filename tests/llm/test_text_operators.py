@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import textwrap
 from collections import Counter
 
 import pytest
@@ -306,6 +307,34 @@ def test_license_notices(spark, odd):
     assert license_scan.scan(odd).count() == 0
 
 
+def licenses_in(text):
+    templates = license_scan.Templates(license_scan.NOTICES)
+    found = [n for _, words in license_scan.blocks_of(text) for n in templates.notices(words)]
+    return [n[0] for n in found if n[-1]]
+
+
+def test_wrapped_notices_are_found_with_comment_marks():
+    prose = "Several other words stand here before and behind what is looked for. "
+    for name, notices in license_scan.NOTICES.items():
+        for notice in notices:
+            for width in (24, 40, 72):
+                for mark in ("", "# ", " * ", "// ", "dnl "):
+                    wrapped = "".join(f"{mark}{line}\n" for line in textwrap.wrap(notice, width, break_on_hyphens=False, break_long_words=False))
+                    assert licenses_in(f"{prose}\n{wrapped}{prose}") == [name], (name, width, mark, wrapped)
+    both = "Released under the MIT License.\nAll rights reserved.\n# SPDX-License-Identifier:\n# Apache-2.0\n"
+    assert sorted(licenses_in(both)) == ["Apache-2.0", "MIT", "all-rights-reserved"]
+
+
+def test_short_notices_in_long_lines_are_found():
+    lot = [f"w{chr(97 + i * 7 % 26)}{chr(97 + i * 11 % 26)}{chr(97 + i * 5 % 23)}" for i in range(400)]
+    for name, notices in license_scan.NOTICES.items():
+        for notice in notices:
+            assert licenses_in(" ".join([*lot[:200], notice, *lot[200:]])) == [name], notice
+    for text in ("licensed under CC BY-NC-XY 5.0", "SPDX-License-Identifier: Zlib", "a license for a public domain of rights",
+                 "Licensed under the GNU General Public License, version 7."):
+        assert licenses_in(" ".join([*lot[:200], text, *lot[200:]])) == [], text
+
+
 def test_empty_tables(spark, documents):
     none = documents.where("false")
     assert substring_dedup.repeated_passages(none).count() == 0
