@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from packetloom.llm import byte_convnet
+from packetloom.llm import byte_convnet, conversation_repair
 from packetloom.llm.decision_list import judged
 from packetloom.llm.hilbert import hilbert_shards
 from packetloom.llm.jaccard_join import jaccard_components
@@ -97,3 +97,9 @@ def op10_byte_convnet(spark, sf_dir):
     scored = byte_convnet.with_score(docs, byte_convnet.fit(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", byte_convnet.held_out("doc_id").alias("held_out"), "score",
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return conversation_repair.digests(conversation_repair.repaired(conversation_repair.damaged(rows), rows))
