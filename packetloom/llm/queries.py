@@ -16,6 +16,7 @@ from packetloom.llm.pieces import coded
 from packetloom.llm.pseudonyms import pseudonymised
 from packetloom.llm.rp_forest import nearest
 from packetloom.llm.substring_dedup import repeated_passages
+from packetloom.llm.token_alignment import aligned
 
 #: Folder of the public vocabulary files; None takes the installed package's.
 TOKENIZERS: str | None = None
@@ -99,6 +100,13 @@ def op10_byte_convnet(spark, sf_dir):
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+@query
+def op12_token_alignment(spark, sf_dir):
+    groups = F.col("groups")
+    rows = aligned(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return rows.withColumn("groups_sha256", F.when(groups == "", "").otherwise(F.sha2(groups.cast("binary"), 256))).drop("groups")
+
+
 @query
 def op13_conversation_repair(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations")
