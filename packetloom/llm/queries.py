@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from packetloom.llm import byte_convnet, conversation_repair
+from packetloom.llm import byte_convnet, conversation_repair, imatch
 from packetloom.llm.decision_list import judged
 from packetloom.llm.hilbert import hilbert_shards
 from packetloom.llm.jaccard_join import jaccard_components
@@ -100,6 +100,12 @@ def op10_byte_convnet(spark, sf_dir):
                          F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+@query
+def op11_imatch(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return imatch.edited_neighbours(docs, imatch.lexicon(docs))
+
+
 @query
 def op12_token_alignment(spark, sf_dir):
     groups = F.col("groups")
