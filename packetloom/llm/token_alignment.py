@@ -34,7 +34,9 @@ from packetloom.llm.words import mix
 
 SLICE_BYTES, BATCH_CHUNKS = 2 << 20, 100_000
 #: What a worker remembers of chunks, and sums up of pairs before it hands them on.
-CACHE_BYTES, HELD_PAIRS = 40 << 20, 2_000_000
+CACHE_BYTES, ENTRY_BYTES, HELD_PAIRS = 128 << 20, 230, 2_000_000
+#: Chunks that are encoded in one call.
+LEARNT = 4096
 RANGES, TABLE_BYTES = 64, 64 << 20
 #: Bits a level of the hash has for each pair that reaches it.
 ROOM = 2
@@ -42,6 +44,7 @@ ROOM = 2
 #: U+180E counts as white space in some versions of the character tables.
 GAP, SOLID = r"[\s᠎]", r"[^\s᠎]"
 CHUNK = re.compile(rf"{GAP}*{SOLID}+(?:(?![ \n]){GAP}+{SOLID}+)*(?:(?![ \n]){GAP}+\Z)?|{GAP}+")
+PLAIN_END = re.compile(rf"{SOLID}\Z")
 MARK = "▁"
 SUMS = ["n_a", "n_b", "n_groups", "n_links"]
 ALIGNED = "doc_id long, " + "".join(f"{c} long, " for c in [*SUMS, "n_best", "count_sum"]) + "groups string"
@@ -143,6 +146,9 @@ class Aligner:
         pieces = [lib.id_to_piece(i) for i in range(self.size_b)]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if lib.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in enumerate(pieces)]
+        self.length_a, self.length_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        # an id and what follows it: code 4 * id + kind, B's ids after all of A's
+        self.spelt = [f"{i}{end}" for n in (size, self.size_b) for i in range(n) for end in (",", "|", ";", "\n")]
         line_end = lib.encode("\n")
         if (any("\n" in p or re.search(f"[^{MARK}]{MARK}", p) for p in pieces) or len(line_end) != 2
                 or self.bytes_b[line_end[0]] != b" " or self.bytes_b[line_end[1]] != b"\n" or size * self.size_b >= 1 << 32):
@@ -177,14 +183,75 @@ class Aligner:
         return np.array(found, np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            own = [e.ids for e in self.a.encode_batch(some, add_special_tokens=False)]
+        odd = [c for c in new if c[0] not in " \n" or not PLAIN_END.search(c)]
+        if odd:
+            self._add_each(odd)
+            new = [c for c in new if c not in self.index]
+        for at in range(0, len(new), LEARNT):
+            some = new[at:at + LEARNT]
+            # chunks may follow each other in any order, so that one call encodes them all
+            whole = " x" + "".join(some)
+            a = np.array(self.a.encode(whole, add_special_tokens=False).ids, np.int64)
+            b = np.array(self.b.encode(whole[1:]), np.int64)
+            raw = whole.encode()
+            if b"".join([self.bytes_a[i] for i in a.tolist()]) == raw == b"".join([self.bytes_b[i] for i in b.tolist()]):
+                self._add_all(some, a, b)
+            else:
+                self._add_each(some)
+
+    def _add_all(self, chunks: list[str], a: np.ndarray, b: np.ndarray) -> None:
+        """Entries of chunks whose tokens lie side by side, after those of two bytes that stand in front."""
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        ends = np.cumsum([2, *(len(c.encode()) for c in chunks)])
+        shared = ends_a[np.isin(ends_a, ends_b, assume_unique=True)]  # no token is empty
+        group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+        chunk_of = np.searchsorted(ends, shared)  # of a group; 0 is what stands in front
+        many_a, many_b = np.bincount(group_a, minlength=len(shared)), np.bincount(group_b, minlength=len(shared))
+        first_b = np.cumsum(many_b) - many_b
+        times = many_b[group_a]  # every A token meets the B tokens of its group
+        pair_a = np.repeat(np.arange(len(a)), times)
+        pair_b = first_b[group_a[pair_a]] + np.arange(len(pair_a)) - np.repeat(np.cumsum(times) - times, times)
+        pairs = a[pair_a] * self.size_b + b[pair_b]
+        keys, links = np.unique(chunk_of[group_a[pair_a]] << 32 | pairs, return_counts=True)
+        mine = keys >> 32 > 0
+        keys, links = keys[mine], links[mine]
+        n = len(chunks)
+        sums = np.zeros((n + 1, 5), np.int64)
+        for i, (of, weight) in enumerate(((chunk_of[group_a], None), (chunk_of[group_b], None), (chunk_of, None),
+                                          (chunk_of, many_a * many_b))):
+            sums[:, i] = np.bincount(of, weight, n + 1)
+        # groups in order, A before B; what follows an id is a comma, or a bar or semicolon at the end of its group
+        last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+        chunk_ends = last_b & (np.diff(chunk_of[group_b], append=-1) != 0)
+        code = np.concatenate([a * 4 + last_a, (b + len(self.bytes_a)) * 4 + np.where(chunk_ends, 3, np.where(last_b, 2, 0))])
+        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
+        shown = "".join(map(self.spelt.__getitem__, code[order].tolist())).split("\n")[1:n + 1]
+        at = self._room(n, len(keys))
+        start = self.first[at]
+        self.pairs[start:start + len(keys)] = keys & 0xFFFFFFFF
+        self.links[start:start + len(keys)] = links
+        self.first[at + 1:at + n + 1] = start + np.cumsum(np.bincount((keys >> 32) - 1, minlength=n))
+        self.sums[at:at + n] = sums[1:]
+        self.shown += shown
+        self.index.update(zip(chunks, range(at, at + n), strict=True))
+        self.bytes += ENTRY_BYTES * n + int(ends[-1]) + sum(map(len, shown)) + 12 * len(keys)
+
+    def _room(self, entries: int, pairs: int) -> int:
+        """Make room for more entries; the number of the first."""
+        i = len(self.shown)
+        while i + entries >= len(self.sums):
+            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+        while self.first[i] + pairs > len(self.pairs):
+            self.pairs, self.links = (np.concatenate([x, np.zeros_like(x)]) for x in (self.pairs, self.links))
+        return i
+
+    def _add_each(self, chunks: list[str]) -> None:
+        for chunk in chunks:
             # B's library puts a space in front of all but nothing; else a line end keeps the chunk apart from it
-            plain = [c[0] == " " and c != " " for c in some]
-            other = self.b.encode([c[1:] if p else "\n" + c for c, p in zip(some, plain, strict=True)], num_threads=1)
-            for chunk, a, b, p in zip(some, own, other, plain, strict=True):
-                self._add(chunk, a, b if p else b[2:])
+            plain = chunk[0] == " " and chunk != " "
+            b = self.b.encode(chunk[1:]) if plain else self.b.encode("\n" + chunk)[2:]
+            self._add(chunk, self.a.encode(chunk, add_special_tokens=False).ids, b)
 
     def _add(self, chunk: str, a: list[int], b: list[int]) -> None:
         i = len(self.shown)
@@ -202,19 +269,14 @@ class Aligner:
                         pair = id_a * self.size_b + id_b
                         links[pair] = links.get(pair, 0) + times * more
             sums = (len(a), len(b), len(groups), n_links, 0)
-        start = self.first[i]
-        if i + 1 >= len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-        while start + len(links) > len(self.pairs):
-            self.pairs, self.links = (np.concatenate([x, np.zeros_like(x)]) for x in (self.pairs, self.links))
+        start = self.first[self._room(1, len(links))]
         self.pairs[start:start + len(links)] = list(links)
         self.links[start:start + len(links)] = list(links.values())
         self.first[i + 1] = start + len(links)
         self.sums[i] = sums
         self.shown.append(text)
         self.index[chunk] = i
-        self.bytes += 300 + 4 * len(raw) + len(text) + 24 * len(links)
+        self.bytes += ENTRY_BYTES + len(raw) + len(text) + 12 * len(links)
 
     def pairs_of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which of ``entries``, place) of all their pairs."""

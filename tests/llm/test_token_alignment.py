@@ -89,6 +89,7 @@ def test_texts_and_tasks_beyond_every_bound(monkeypatch):
     monkeypatch.setattr(ta, "SLICE_BYTES", 50)
     monkeypatch.setattr(ta, "BATCH_CHUNKS", 7)
     monkeypatch.setattr(ta, "CACHE_BYTES", 3000)
+    monkeypatch.setattr(ta, "LEARNT", 5)
     pick = random.Random(6)
     texts = [" ".join("".join(pick.choices("abcdé\n", k=pick.randint(1, 9))) for _ in range(pick.randint(0, 120))) for _ in range(40)]
     model = ta.Aligner(A, B)
