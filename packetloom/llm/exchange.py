@@ -6,7 +6,7 @@ costs four to six bytes once per batch instead of a row per occurrence, a key th
 batch, and no task holds more than its range, whose width follows the size of the corpus.
 
 The documents are read twice, for the questions and to meet the answers. Batches are numbered by input partition and
-place, so the input must come in the same order each time, as a table in storage does. A checksum of every batch
+place, so the input must come in the same order each time, as a table in storage does. A checksum of every batch's texts
 travels with its answers; a batch that does not match fails the job.
 """
 
@@ -47,25 +47,53 @@ def plan(docs: DataFrame, column: str) -> Plan:
     return Plan(max(8, -(-total // a_range)), min(BATCH_MOST, max(BATCH_BYTES, total // CORPUS_BATCHES)))
 
 
+def _sizes(column: pa.Array) -> np.ndarray:
+    return np.asarray(pc.fill_null(pc.binary_length(column), 0), np.int64)
+
+
 def in_batches(frames: Iterator[pa.RecordBatch], column: str, size: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``size`` bytes of text."""
+    """The same rows in batches of about ``size`` bytes of text.
+
+    A row's batch follows from the bytes of text before it in the partition, not from the frames it comes in: Spark cuts
+    frames by the size of all columns that are sent, which differ from pass to pass.
+    """
+    before, held, number = 0, [], None
     for frame in frames:
         if not frame.num_rows:
             continue
-        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(frame.column(column)), 0), np.int64))
-        at = 0
-        while at < frame.num_rows:
-            done = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, done + size, "right")))
-            yield frame.slice(at, to - at)
-            at = to
+        ends = before + np.cumsum(_sizes(frame.column(column)))
+        of_row = np.concatenate([[before], ends[:-1]]) // size
+        before = int(ends[-1])
+        cut = np.flatnonzero(np.diff(of_row, prepend=-1))
+        for at, to in zip(cut.tolist(), [*cut[1:].tolist(), frame.num_rows], strict=True):
+            if held and of_row[at] != number:
+                yield _one(held)
+                held = []
+            number = of_row[at]
+            held.append(frame.slice(at, to - at))
+    if held:
+        yield _one(held)
+
+
+def _one(frames: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return frames[0] if len(frames) == 1 else pa.Table.from_batches(frames).combine_chunks().to_batches()[0]
+
+
+def _checksum(column: pa.Array) -> int:
+    """Of the texts and where each ends; a null counts as empty."""
+    column = pc.fill_null(column, "") if column.null_count else column
+    crc = zlib.crc32(_sizes(column).tobytes())
+    if column.buffers()[2] is None:
+        return crc
+    bounds = np.frombuffer(column.buffers()[1], np.int64 if column.type == pa.large_string() else np.int32)
+    at, to = int(bounds[column.offset]), int(bounds[column.offset + len(column)])
+    return zlib.crc32(memoryview(column.buffers()[2])[at:to], crc)
 
 
 def _numbered(frames, column, size) -> Iterator[tuple[int, int, pa.RecordBatch]]:
     base = TaskContext.get().partitionId() << 24
     for k, batch in enumerate(in_batches(frames, column, size)):
-        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
-        yield base + k, zlib.crc32(sizes.tobytes()), batch
+        yield base + k, _checksum(batch.column(column)), batch
 
 
 def cuts(keys: np.ndarray, parts: int, bits: int) -> np.ndarray:
