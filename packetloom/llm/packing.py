@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, functions as F
 
 CAPACITY, END_ID = 4096, 1
 GROUP_DOCS = 60_000
-CACHED_WORDS = 400_000
+#: Bytes that a worker's remembered words may take, and what one takes besides its letters and ids.
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 190
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECE + ", sequence_id long, offset long"
 
@@ -30,7 +31,8 @@ class WordIds:
     """Token ids of white-space-separated words, as packed 32-bit numbers, for a tokenizer that never joins words.
 
     Words of ASCII and Latin-1 letters go to the model directly, lower-cased and cut as the tokenizer's own pattern does;
-    all others take the tokenizer's whole way. Two generations of remembered words bound the memory.
+    all others take the tokenizer's whole way. Words and their parts are remembered within ``CACHE_BYTES``, of which each of two
+    generations has half; the older one goes when the younger is full.
     """
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
     PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
@@ -51,15 +53,15 @@ class WordIds:
         self.words: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
+        self.bytes = 0
 
     def _part(self, part: str) -> bytes:
         known = self.parts.get(part)
         if known is None:
             ids = [t.id for t in self.model.tokenize(part.translate(self.shown))]
             known = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.parts) > CACHED_WORDS:
-                self.parts.clear()
             self.parts[part] = known
+            self.bytes += len(part) + len(known) + ENTRY_BYTES
         return known
 
     def _new(self, raw: bytes) -> bytes:
@@ -77,8 +79,9 @@ class WordIds:
                 if ids is None:
                     ids = self.words.get(word) or self.old.get(word) or self._new(word)
                     self.words[word] = found[i] = ids
-            if len(self.words) > CACHED_WORDS:
-                self.old, self.words = self.words, {}
+                    self.bytes += len(word) + len(ids) + ENTRY_BYTES
+                    if self.bytes > CACHE_BYTES // 2:
+                        self.old, self.words, self.parts, self.bytes = self.words, {}, {}, 0
         return b"".join(found)
 
 
