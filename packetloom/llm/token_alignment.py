@@ -44,7 +44,9 @@ ROOM = 2
 #: U+180E counts as white space in some versions of the character tables.
 GAP, SOLID = r"[\s᠎]", r"[^\s᠎]"
 CHUNK = re.compile(rf"{GAP}*{SOLID}+(?:(?![ \n]){GAP}+{SOLID}+)*(?:(?![ \n]){GAP}+\Z)?|{GAP}+")
-PLAIN_END = re.compile(rf"{SOLID}\Z")
+#: How byte-level vocabularies of this kind cut a text, the default of the tokenizers library.
+CUTS_A = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+OPEN_ENDS = "\u180e"
 MARK = "▁"
 SUMS = ["n_a", "n_b", "n_groups", "n_links"]
 ALIGNED = "doc_id long, " + "".join(f"{c} long, " for c in [*SUMS, "n_best", "count_sum"]) + "groups string"
@@ -124,11 +126,12 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        self.whole_a = Tokenizer.from_file(path_a)
+        self.whole_a.encode_special_tokens = True
         with open(path_a, encoding="utf-8") as f:
             about = json.load(f)
         pre = about["pre_tokenizer"]
@@ -137,10 +140,19 @@ class Aligner:
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in printable]
         byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
-        size = self.a.get_vocab_size()
+        size = self.whole_a.get_vocab_size()
         self.bytes_a = [b""] * size
-        for token, i in self.a.get_vocab().items():
+        for token, i in self.whole_a.get_vocab().items():
             self.bytes_a[i] = bytes([byte[c] for c in token]) if all(c in byte for c in token) else token.encode()
+        # where ids are in the order of the merges, they are the ranks that the faster library works by
+        merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in about["model"]["merges"]]
+        vocab, special = about["model"]["vocab"], {t["id"] for t in about["added_tokens"]}
+        ordinary = [t for t, i in sorted(vocab.items(), key=lambda x: x[1]) if i not in special]
+        if ordinary[256:] != merges or sorted(ordinary[:256]) != sorted(byte):
+            raise ValueError("the ids of A are not in the order of its merges")
+        self.a = tiktoken.Encoding("a", pat_str=CUTS_A, mergeable_ranks={self.bytes_a[vocab[t]]: vocab[t] for t in ordinary},
+                                   special_tokens={})
+        self.unchecked = True
         self.b = lib = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.size_b = lib.get_piece_size()
         pieces = [lib.id_to_piece(i) for i in range(self.size_b)]
@@ -183,7 +195,7 @@ class Aligner:
         return np.array(found, np.int64)
 
     def _learn(self, new: list[str]) -> None:
-        odd = [c for c in new if c[0] not in " \n" or not PLAIN_END.search(c)]
+        odd = [c for c in new if c[0] not in " \n" or c[-1] in OPEN_ENDS or c[-1].isspace()]
         if odd:
             self._add_each(odd)
             new = [c for c in new if c not in self.index]
@@ -191,7 +203,10 @@ class Aligner:
             some = new[at:at + LEARNT]
             # chunks may follow each other in any order, so that one call encodes them all
             whole = " x" + "".join(some)
-            a = np.array(self.a.encode(whole, add_special_tokens=False).ids, np.int64)
+            a = np.array(self.a.encode_ordinary(whole), np.int64)
+            if self.unchecked and a.tolist() != self.whole_a.encode(whole, add_special_tokens=False).ids:
+                raise RuntimeError("the two libraries encode differently")
+            self.unchecked = False
             b = np.array(self.b.encode(whole[1:]), np.int64)
             raw = whole.encode()
             if b"".join([self.bytes_a[i] for i in a.tolist()]) == raw == b"".join([self.bytes_b[i] for i in b.tolist()]):
@@ -251,7 +266,7 @@ class Aligner:
             # B's library puts a space in front of all but nothing; else a line end keeps the chunk apart from it
             plain = chunk[0] == " " and chunk != " "
             b = self.b.encode(chunk[1:]) if plain else self.b.encode("\n" + chunk)[2:]
-            self._add(chunk, self.a.encode(chunk, add_special_tokens=False).ids, b)
+            self._add(chunk, self.whole_a.encode(chunk, add_special_tokens=False).ids, b)
 
     def _add(self, chunk: str, a: list[int], b: list[int]) -> None:
         i = len(self.shown)
