@@ -18,9 +18,9 @@ from __future__ import annotations
 import json
 import os
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import count, islice
 
 import numpy as np
 import pandas as pd
@@ -34,7 +34,7 @@ from packetloom.llm.words import mix
 
 SLICE_BYTES, BATCH_CHUNKS = 2 << 20, 100_000
 #: What a worker remembers of chunks, and sums up of pairs before it hands them on.
-CACHE_BYTES, ENTRY_BYTES, HELD_PAIRS = 128 << 20, 230, 2_000_000
+CACHE_BYTES, ENTRY_BYTES, HELD_PAIRS = 96 << 20, 240, 1_000_000
 #: Chunks that are encoded in one call.
 LEARNT = 4096
 RANGES, TABLE_BYTES = 64, 64 << 20
@@ -43,6 +43,8 @@ ROOM = 2
 
 #: U+180E counts as white space in some versions of the character tables.
 GAP, SOLID = r"[\s᠎]", r"[^\s᠎]"
+#: The same where no white space but spaces and line ends occurs.
+PLAIN_CHUNK, ODD_GAP = re.compile(r"\s*\S+|\s+"), re.compile(r"[^\S \n]|\u180e")
 CHUNK = re.compile(rf"{GAP}*{SOLID}+(?:(?![ \n]){GAP}+{SOLID}+)*(?:(?![ \n]){GAP}+\Z)?|{GAP}+")
 #: How byte-level vocabularies of this kind cut a text, the default of the tokenizers library.
 CUTS_A = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -127,11 +129,7 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
         import tiktoken
-        from tokenizers import Tokenizer
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.whole_a = Tokenizer.from_file(path_a)
-        self.whole_a.encode_special_tokens = True
         with open(path_a, encoding="utf-8") as f:
             about = json.load(f)
         pre = about["pre_tokenizer"]
@@ -140,27 +138,27 @@ class Aligner:
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in printable]
         byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(rest)}
-        size = self.whole_a.get_vocab_size()
+        vocab, special = about["model"]["vocab"], {t["content"]: t["id"] for t in about["added_tokens"]}
+        size = max([*vocab.values(), *special.values()]) + 1
         self.bytes_a = [b""] * size
-        for token, i in self.whole_a.get_vocab().items():
+        for token, i in (vocab | special).items():
             self.bytes_a[i] = bytes([byte[c] for c in token]) if all(c in byte for c in token) else token.encode()
         # where ids are in the order of the merges, they are the ranks that the faster library works by
         merges = ["".join(m if isinstance(m, list) else m.split(" ")) for m in about["model"]["merges"]]
-        vocab, special = about["model"]["vocab"], {t["id"] for t in about["added_tokens"]}
-        ordinary = [t for t, i in sorted(vocab.items(), key=lambda x: x[1]) if i not in special]
+        ordinary = [t for t in sorted(vocab, key=vocab.get) if t not in special]
         if ordinary[256:] != merges or sorted(ordinary[:256]) != sorted(byte):
             raise ValueError("the ids of A are not in the order of its merges")
         self.a = tiktoken.Encoding("a", pat_str=CUTS_A, mergeable_ranks={self.bytes_a[vocab[t]]: vocab[t] for t in ordinary},
                                    special_tokens={})
-        self.unchecked = True
+        self.path_a, self.unchecked, self.texts = path_a, True, True
         self.b = lib = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.size_b = lib.get_piece_size()
         pieces = [lib.id_to_piece(i) for i in range(self.size_b)]
         self.bytes_b = [bytes([int(p[1:-1], 16)]) if lib.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in enumerate(pieces)]
         self.length_a, self.length_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
-        # an id and what follows it: code 4 * id + kind, B's ids after all of A's
-        self.spelt = [f"{i}{end}" for n in (size, self.size_b) for i in range(n) for end in (",", "|", ";", "\n")]
+        # an id and what follows it, by 2 * id + kind, B's ids by 3 * id + kind after all of A's
+        self.spelt = [f"{i}{end}" for n, ends in ((size, ",|"), (self.size_b, ",;\n")) for i in range(n) for end in ends]
         line_end = lib.encode("\n")
         if (any("\n" in p or re.search(f"[^{MARK}]{MARK}", p) for p in pieces) or len(line_end) != 2
                 or self.bytes_b[line_end[0]] != b" " or self.bytes_b[line_end[1]] != b"\n" or size * self.size_b >= 1 << 32):
@@ -168,11 +166,11 @@ class Aligner:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[str, int] = defaultdict(count().__next__)  # an unknown chunk gets the next number
         self.shown: list[str] = []
         self.sums = np.zeros((1024, 5), np.int64)
-        self.pairs, self.links = np.zeros(4096, np.uint32), np.zeros(4096, np.int64)
-        self.first = np.zeros(1025, np.int64)  # entry i has pairs first[i]:first[i+1]
+        self.start, self.size = np.zeros(1024, np.int64), np.zeros(1024, np.int64)  # an entry's place among the pairs
+        self.pairs, self.links, self.used = np.zeros(4096, np.uint32), np.zeros(4096, np.int32), 0
         self.bytes = 0
 
     def chunks(self, text: str) -> Iterator[list[str]]:
@@ -181,40 +179,55 @@ class Aligner:
         if MARK in text or "\0" in text:
             yield [" " + text]
         elif len(text) < SLICE_BYTES:
-            yield CHUNK.findall(" " + text)
+            yield (CHUNK if ODD_GAP.search(text) else PLAIN_CHUNK).findall(" " + text)
         else:
             found = CHUNK.finditer(" " + text)
             while some := [m[0] for m in islice(found, BATCH_CHUNKS)]:
                 yield some
 
     def known(self, chunks: list[str]) -> np.ndarray:
-        found = list(map(self.index.get, chunks))
-        if None in found:
-            self._learn(list(dict.fromkeys(c for c, i in zip(chunks, found, strict=True) if i is None)))
-            found = list(map(self.index.__getitem__, chunks))
-        return np.array(found, np.int64)
-
-    def _learn(self, new: list[str]) -> None:
-        odd = [c for c in new if c[0] not in " \n" or c[-1] in OPEN_ENDS or c[-1].isspace()]
-        if odd:
-            self._add_each(odd)
-            new = [c for c in new if c not in self.index]
-        for at in range(0, len(new), LEARNT):
-            some = new[at:at + LEARNT]
+        before = len(self.index)
+        found = np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
+        if len(self.index) > before:
+            self._learn(before, list(islice(reversed(self.index), len(self.index) - before))[::-1])
+        return found
+
+    def _learn(self, number: int, new: list[str]) -> None:
+        """Align new chunks, which have the numbers from ``number`` on."""
+        end = number + len(new)
+        while end > len(self.sums):
+            self.sums, self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.sums, self.start, self.size))
+        self.shown += [""] * len(new)
+        odd = [i for i, c in enumerate(new, number) if c[0] not in " \n" or c[-1] in OPEN_ENDS or c[-1].isspace()]
+        self._add_each(odd, [new[i - number] for i in odd])
+        ids = np.setdiff1d(np.arange(number, end), odd, assume_unique=True)
+        for at in range(0, len(ids), LEARNT):
+            mine = ids[at:at + LEARNT]
+            some = [new[i - number] for i in mine.tolist()]
             # chunks may follow each other in any order, so that one call encodes them all
             whole = " x" + "".join(some)
             a = np.array(self.a.encode_ordinary(whole), np.int64)
-            if self.unchecked and a.tolist() != self.whole_a.encode(whole, add_special_tokens=False).ids:
-                raise RuntimeError("the two libraries encode differently")
-            self.unchecked = False
+            if self.unchecked:
+                self._check(whole, a.tolist())
             b = np.array(self.b.encode(whole[1:]), np.int64)
             raw = whole.encode()
             if b"".join([self.bytes_a[i] for i in a.tolist()]) == raw == b"".join([self.bytes_b[i] for i in b.tolist()]):
-                self._add_all(some, a, b)
+                self._add_all(mine, some, a, b)
             else:
-                self._add_each(some)
+                self._add_each(mine.tolist(), some)
+
+    def _check(self, text: str, ids: list[int]) -> None:
+        """What a worker encodes first is compared with the tokenizers library."""
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        library = Tokenizer.from_file(self.path_a)
+        library.encode_special_tokens = True
+        if library.encode(text, add_special_tokens=False).ids != ids:
+            raise RuntimeError("the two libraries for A encode differently")
+        self.unchecked = False
 
-    def _add_all(self, chunks: list[str], a: np.ndarray, b: np.ndarray) -> None:
+    def _add_all(self, ids: np.ndarray, chunks: list[str], a: np.ndarray, b: np.ndarray) -> None:
         """Entries of chunks whose tokens lie side by side, after those of two bytes that stand in front."""
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
         ends = np.cumsum([2, *(len(c.encode()) for c in chunks)])
@@ -235,41 +248,39 @@ class Aligner:
         for i, (of, weight) in enumerate(((chunk_of[group_a], None), (chunk_of[group_b], None), (chunk_of, None),
                                           (chunk_of, many_a * many_b))):
             sums[:, i] = np.bincount(of, weight, n + 1)
-        # groups in order, A before B; what follows an id is a comma, or a bar or semicolon at the end of its group
-        last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
-        chunk_ends = last_b & (np.diff(chunk_of[group_b], append=-1) != 0)
-        code = np.concatenate([a * 4 + last_a, (b + len(self.bytes_a)) * 4 + np.where(chunk_ends, 3, np.where(last_b, 2, 0))])
-        order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
-        shown = "".join(map(self.spelt.__getitem__, code[order].tolist())).split("\n")[1:n + 1]
-        at = self._room(n, len(keys))
-        start = self.first[at]
-        self.pairs[start:start + len(keys)] = keys & 0xFFFFFFFF
-        self.links[start:start + len(keys)] = links
-        self.first[at + 1:at + n + 1] = start + np.cumsum(np.bincount((keys >> 32) - 1, minlength=n))
-        self.sums[at:at + n] = sums[1:]
-        self.shown += shown
-        self.index.update(zip(chunks, range(at, at + n), strict=True))
-        self.bytes += ENTRY_BYTES * n + int(ends[-1]) + sum(map(len, shown)) + 12 * len(keys)
-
-    def _room(self, entries: int, pairs: int) -> int:
-        """Make room for more entries; the number of the first."""
-        i = len(self.shown)
-        while i + entries >= len(self.sums):
-            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-        while self.first[i] + pairs > len(self.pairs):
+        if self.texts:
+            # groups in order, A before B; what follows an id is a comma, or a bar or semicolon at the end of its group
+            last_a, last_b = np.diff(group_a, append=-1) != 0, np.diff(group_b, append=-1) != 0
+            chunk_ends = last_b & (np.diff(chunk_of[group_b], append=-1) != 0)
+            code = np.concatenate([a * 2 + last_a, 2 * len(self.bytes_a) + b * 3 + last_b + chunk_ends])
+            order = np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")
+            shown = "".join(map(self.spelt.__getitem__, code[order].tolist())).split("\n")[1:n + 1]
+            for i, text in zip(ids.tolist(), shown, strict=True):
+                self.shown[i] = text
+            self.bytes += sum(map(len, shown))
+        size = np.bincount((keys >> 32) - 1, minlength=n)
+        at = self._room(len(keys))
+        self.pairs[at:at + len(keys)] = keys & 0xFFFFFFFF
+        self.links[at:at + len(keys)] = links
+        self.start[ids], self.size[ids], self.sums[ids] = at + np.cumsum(size) - size, size, sums[1:]
+        self.bytes += ENTRY_BYTES * n + int(ends[-1]) + 8 * len(keys)
+
+    def _room(self, pairs: int) -> int:
+        """Make room for more pairs; the place of the first."""
+        at = self.used
+        self.used += pairs
+        while self.used > len(self.pairs):
             self.pairs, self.links = (np.concatenate([x, np.zeros_like(x)]) for x in (self.pairs, self.links))
-        return i
+        return at
 
-    def _add_each(self, chunks: list[str]) -> None:
-        for chunk in chunks:
+    def _add_each(self, ids: list[int], chunks: list[str]) -> None:
+        for i, chunk in zip(ids, chunks, strict=True):
             # B's library puts a space in front of all but nothing; else a line end keeps the chunk apart from it
             plain = chunk[0] == " " and chunk != " "
             b = self.b.encode(chunk[1:]) if plain else self.b.encode("\n" + chunk)[2:]
-            self._add(chunk, self.whole_a.encode(chunk, add_special_tokens=False).ids, b)
+            self._add(i, chunk, self.a.encode_ordinary(chunk), b)
 
-    def _add(self, chunk: str, a: list[int], b: list[int]) -> None:
-        i = len(self.shown)
+    def _add(self, i: int, chunk: str, a: list[int], b: list[int]) -> None:
         part_a, part_b = [self.bytes_a[x] for x in a], [self.bytes_b[x] for x in b]
         raw, text, links, sums = chunk.encode(), "", {}, (0, 0, 0, 0, 1)
         if b"".join(part_a) == raw == b"".join(part_b):
@@ -284,21 +295,18 @@ class Aligner:
                         pair = id_a * self.size_b + id_b
                         links[pair] = links.get(pair, 0) + times * more
             sums = (len(a), len(b), len(groups), n_links, 0)
-        start = self.first[self._room(1, len(links))]
-        self.pairs[start:start + len(links)] = list(links)
-        self.links[start:start + len(links)] = list(links.values())
-        self.first[i + 1] = start + len(links)
-        self.sums[i] = sums
-        self.shown.append(text)
-        self.index[chunk] = i
-        self.bytes += ENTRY_BYTES + len(raw) + len(text) + 12 * len(links)
+        at = self._room(len(links))
+        self.pairs[at:at + len(links)] = list(links)
+        self.links[at:at + len(links)] = list(links.values())
+        self.start[i], self.size[i], self.sums[i], self.shown[i] = at, len(links), sums, text
+        self.bytes += ENTRY_BYTES + len(raw) + len(text) + 8 * len(links)
 
     def pairs_of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(which of ``entries``, place) of all their pairs."""
-        size = self.first[entries + 1] - self.first[entries]
+        size = self.size[entries]
         which = np.repeat(np.arange(len(entries)), size)
         within = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
-        return which, np.repeat(self.first[entries], size) + within
+        return which, np.repeat(self.start[entries], size) + within
 
 
 def _groups(a: list[int], b: list[int], part_a: list[bytes], part_b: list[bytes]) -> list[tuple[list[int], list[int]]]:
@@ -319,10 +327,16 @@ def _groups(a: list[int], b: list[int], part_a: list[bytes], part_b: list[bytes]
 _LOADED: dict[tuple[str, str], Aligner] = {}
 
 
-def _aligner(path_a: str, path_b: str) -> Aligner:
+def _aligner(path_a: str, path_b: str, texts: bool) -> Aligner:
+    """The worker's aligner; without ``texts`` its entries have no groups to show."""
     if (path_a, path_b) not in _LOADED:
+        _LOADED.clear()
         _LOADED[path_a, path_b] = Aligner(path_a, path_b)
-    return _LOADED[path_a, path_b]
+    model = _LOADED[path_a, path_b]
+    if model.texts != texts:
+        model.clear()
+        model.texts = texts
+    return model
 
 
 def _runs(model: Aligner, texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -360,7 +374,7 @@ def _summed(pairs: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def counted_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """Per task and range of A ids: distinct pairs and the number of the task's documents that link them."""
     def run(frames):
-        model = _aligner(path_a, path_b)
+        model = _aligner(path_a, path_b, False)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
@@ -385,7 +399,8 @@ def counted_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 at = np.unique(row * n + entry)
                 which, place = model.pairs_of(at % n)
                 seen.append(np.unique((at // n)[which].astype(np.uint64) << np.uint64(32) | model.pairs[place]))
-            every = np.unique(np.concatenate(seen))  # (text, pair), once for each text however long it is
+            # (text, pair), once for each text however long it is
+            every = seen[-1] if len(seen) <= 2 else np.unique(np.concatenate(seen))
             every = every[~bad[(every >> np.uint64(32)).astype(np.int64)]]
             pairs, counts = np.unique(every & np.uint64(0xFFFFFFFF), return_counts=True)
             held.append((pairs.astype(np.int64), counts))
@@ -534,7 +549,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, table_bytes: int = TABLE_
     shared = docs.sparkSession.sparkContext.broadcast([r.asDict() for r in tables.collect()])
 
     def run(frames):
-        model = _aligner(path_a, path_b)
+        model = _aligner(path_a, path_b, True)
         worth = Worth({row["r"]: PairTable(row) for row in shared.value}, size_b)
         for frame in in_batches(frames, "text", SLICE_BYTES):
             figures, groups, _ = _figures(model, frame.column("text").to_pylist(), worth)
@@ -546,7 +561,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, table_bytes: int = TABLE_
 def _joined(docs: DataFrame, path_a: str, path_b: str, counts: DataFrame, size_b: int) -> DataFrame:
     """The second pass for a table of pairs beyond what is broadcast: links of each document meet the counts by pair."""
     def run(frames):
-        model = _aligner(path_a, path_b)
+        model = _aligner(path_a, path_b, True)
         number = TaskContext.get().partitionId() << 40
         for frame in in_batches(frames, "text", SLICE_BYTES):
             texts = frame.column("text").to_pylist()
