@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -34,7 +35,7 @@ LEVELS = [(8, 8), (64, 24), (512, 32)]
 LEAST_SUBSETS = 6
 SUBSETS = sum(n for _, n in LEVELS)
 HELD_TERMS = 1_000_000
-SLICE_BYTES = 1 << 20
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 10_000
 
 
 # --- lexicon ----------------------------------------------------------------------------------------------------------
@@ -190,12 +191,13 @@ def edited_neighbours(docs: DataFrame, known: np.ndarray) -> DataFrame:
     The next document is the next row by (doc_id, digest of the text), nulls first, after the last one the first; a null text is
     empty; repeated rows follow each other; a single row follows itself. Rows are sorted over all tasks by range, the hash
     of a row's place breaking up repeated rows, and pass a task in order; the last row of a task waits for the first row of
-    the next task that has any.
+    the next task that has any. Texts travel compressed.
     """
     order = ["doc_id", "_digest", "_place"]
     rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"),
                        F.monotonically_increasing_id().alias("_place"))
-    rows = rows.withColumn("_digest", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows = rows.withColumn("_digest", F.xxhash64("text")).mapInArrow(
+        _squeezed, "doc_id long, packed binary, _place long, _digest long").repartitionByRange(*order).sortWithinPartitions(*order)
     shared = docs.sparkSession.sparkContext.broadcast(known)
     schema = to_arrow_schema(StructType.fromDDL(STEP))
 
@@ -207,25 +209,22 @@ def edited_neighbours(docs: DataFrame, known: np.ndarray) -> DataFrame:
         def single(kind, doc_id, text):
             return pa.RecordBatch.from_pylist([{"kind": kind, "task": task, "text": text, "doc_id": doc_id}], schema)
 
-        for frame in frames:
-            for at, n in _spans(frame.column("text")):
-                part = frame.slice(at, n)
-                new_texts = part.column("text").to_pylist()
-                if first:
-                    yield single(2, part.column("doc_id")[0].as_py(), new_texts[0])
-                    first = False
-                ids += part.column("doc_id").to_pylist()
-                texts += new_texts
-                prints = np.concatenate([prints, signatures(part.column("text"), known)])
-                if len(texts) > 1:
-                    out = _rows(ids[:-1], texts[:-1], prints[:-1], texts[1:], prints[1:], known)
-                    out = out.assign(kind=0, task=task, text=None)
-                    yield pa.RecordBatch.from_pandas(out[schema.names], schema, preserve_index=False)
-                ids, texts, prints = ids[-1:], texts[-1:], prints[-1:]
+        for new_ids, new_texts in _spread(frames):
+            if first:
+                yield single(2, new_ids[0], new_texts[0])
+                first = False
+            ids += new_ids
+            texts += new_texts
+            prints = np.concatenate([prints, signatures(pa.array(new_texts, pa.large_string()), known)])
+            if len(texts) > 1:
+                out = _rows(ids[:-1], texts[:-1], prints[:-1], texts[1:], prints[1:], known)
+                out = out.assign(kind=0, task=task, text=None)
+                yield pa.RecordBatch.from_pandas(out[schema.names], schema, preserve_index=False)
+            ids, texts, prints = ids[-1:], texts[-1:], prints[-1:]
         if texts:
             yield single(1, ids[0], texts[0])
 
-    steps = settled(rows.select("doc_id", "text").mapInArrow(run, STEP))
+    steps = settled(rows.select("doc_id", "packed").mapInArrow(run, STEP))
     # one row per task, without texts: which task's first row follows which task's last
     before = F.coalesce(F.lag("task").over(W.orderBy("task")), F.max("task").over(W.partitionBy()))
     around = steps.where("kind = 2").select("task", before.alias("before"))
@@ -248,6 +247,27 @@ def edited_neighbours(docs: DataFrame, known: np.ndarray) -> DataFrame:
     return steps.where("kind = 0").select(*edited_schema.names).unionByName(ends.mapInArrow(meet, EDITED))
 
 
-def _spans(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    for at, part in slices(texts, SLICE_BYTES):
-        yield at, len(part)
+def _squeezed(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows with ``text`` as a compressed ``packed``."""
+    squeeze = zstandard.ZstdCompressor(level=1, write_checksum=False).compress
+    for frame in frames:
+        packed = pa.array([squeeze(t.as_buffer()) for t in frame.column("text")], pa.binary())
+        yield pa.RecordBatch.from_arrays([frame.column("doc_id"), packed, frame.column("_place"), frame.column("_digest")],
+                                         ["doc_id", "packed", "_place", "_digest"])
+
+
+def _spread(frames: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """(doc_ids, texts), about ``SLICE_BYTES`` of text at a time."""
+    spread = zstandard.ZstdDecompressor().decompress
+    ids, texts, size = [], [], 0
+    for frame in frames:
+        for doc_id, packed in zip(frame.column("doc_id").to_pylist(), frame.column("packed"), strict=True):
+            raw = spread(packed.as_buffer())
+            ids.append(doc_id)
+            texts.append(raw.decode())
+            size += len(raw)
+            if size > SLICE_BYTES or len(texts) >= SLICE_ROWS:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if texts:
+        yield ids, texts
