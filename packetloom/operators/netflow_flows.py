@@ -7,9 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from packetloom.functions.binary import span, udiv, uptime_to_epoch
 from packetloom.operators.layout import ADDRESS_SLOTS, ICMP_SLOTS, NUMBER_SLOTS, SLOT_INDEX
 from packetloom.operators.netflow_sets import frame
-from packetloom.operators.netflow_state import (attach_sampling, record_count, resolve_sets, sampling_timeline,
-                                                template_timeline, unlearnt_announcements)
-from packetloom.plans.tables import settle, unnest
+from packetloom.operators.netflow_state import (Timeline, announcing, attach_sampling, record_count, resolve_sets,
+                                                sampling_timeline, telling_packets, template_timeline,
+                                                unlearnt_announcements)
+from packetloom.plans.tables import unnest
 from packetloom.schema import IPFIX, NETFLOW_V9, PROVENANCE, to_flow_columns
 
 PACKET_COLUMNS = ["packet_id", "router", "version", "domain", "t", "received", "sampler", "uptime", "base_time",
@@ -66,21 +67,42 @@ def project_flows(records: DataFrame) -> DataFrame:
     return to_flow_columns(records.withColumn("is_padding", F.lit(False)), values, PROVENANCE)
 
 
+def templates_in(framed: DataFrame, templates: DataFrame | None = None, with_fields: bool = False) -> Timeline:
+    """The template timeline that framed packets build; a template behind a set without one is never learnt."""
+    control = announcing(framed)
+    timeline = template_timeline(control, templates, with_fields, unlearnt_announcements(control))
+    control.unpersist()
+    return timeline
+
+
 def resolve(packets: DataFrame, templates: DataFrame | None = None, with_fields: bool = False) -> DataFrame:
     """Frame packets and look their sets up in the template timeline the packets themselves build.
 
-    A set without a template ends its packet; templates behind it are never learnt.
+    A set without a template ends its packet.
     """
     framed = frame(packets)
-    drop = unlearnt_announcements(framed)
-    return resolve_sets(framed, settle(template_timeline(framed, templates, with_fields, drop)), with_fields)
+    return resolve_sets(framed, templates_in(framed, templates, with_fields), with_fields)
+
+
+def resolve_rated(packets: DataFrame, templates: DataFrame | None = None, sampling: DataFrame | None = None,
+                  sampling_rate: int | None = None) -> DataFrame:
+    """``resolve`` with ``sampling_rate``: a constant, or what the exporter told last. Rates are looked for only in
+    packets that can tell one."""
+    framed = frame(packets)
+    timeline = templates_in(framed, templates)
+    resolved = resolve_sets(framed, timeline)
+    if sampling_rate is not None:
+        return resolved.withColumn("sampling_rate", F.lit(sampling_rate).cast("bigint"))
+    telling = resolve_sets(telling_packets(framed, timeline), timeline)
+    return attach_sampling(resolved, sampling_timeline(telling, sampling))
 
 
 def with_sampling(resolved: DataFrame, sampling: DataFrame | None = None,
                   sampling_rate: int | None = None) -> DataFrame:
+    """``sampling_rate`` for packets already resolved."""
     if sampling_rate is not None:
         return resolved.withColumn("sampling_rate", F.lit(sampling_rate).cast("bigint"))
-    return attach_sampling(resolved, settle(sampling_timeline(resolved, sampling)))
+    return attach_sampling(resolved, sampling_timeline(resolved, sampling))
 
 
 def flows_from_netflow(packets: DataFrame, templates: DataFrame | None = None, sampling: DataFrame | None = None,
@@ -90,6 +112,5 @@ def flows_from_netflow(packets: DataFrame, templates: DataFrame | None = None, s
     ``templates`` and ``sampling`` add templates and rates known beforehand; ``sampling_rate`` replaces rate
     lookup by a constant.
     """
-    resolved = resolve(packets, templates)
-    rated = with_sampling(resolved, sampling, sampling_rate)
+    rated = resolve_rated(packets, templates, sampling, sampling_rate)
     return project_flows(explode_records(rated, "data", [*PACKET_COLUMNS, "sampling_rate"]))

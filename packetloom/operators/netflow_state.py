@@ -1,17 +1,21 @@
 """Templates and sampling rates over time, and their lookup as of a packet.
 
-Exporters repeat their templates and rates all the time but seldom change them. What is kept is one
-timeline per (router, version, domain) with the changes only. It is a small dimension: packets look their
-sets up in it where they lie, and the payloads are not shuffled while the dimension can be broadcast.
+Exporters repeat their templates and rates all the time but seldom change them. Only the changes are kept, in a small
+dimension of one row per (router, version, domain) and slot of time: what is in force when the slot begins, and the changes
+inside it. An exporter with few changes has a single slot; one with many has slots of its own width, some
+``PER_SLOT`` changes each, so no row grows with its history. Packets join on key and slot where they lie, and the
+payloads are not shuffled while the dimension can be broadcast.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from packetloom.functions.binary import uint
 from packetloom.operators.layout import slot_at, slot_length, with_layout
-from packetloom.plans.tables import join_small, settle, unnest
+from packetloom.plans.tables import BROADCAST_BYTES, join_small, settle, unnest, where_once
 
 KEY = ["router", "version", "domain"]
 SPOT = [*KEY, "t", "packet_id", "set_idx"]  # packet numbers are unique in an exporter's second at best
@@ -21,6 +25,8 @@ TEMPLATE_VALUE = ([*KEY, "template_id"], ["kind", "field_count", "scopes", "fiel
 RATE_VALUE = (KEY, ["rate"])
 # Packets of one exporter are first compared within a slot of time, so no exporter is one sort group.
 SLOT_MICROS = 3_600_000_000
+#: An exporter with more changes than ``BUSY`` is cut into slots of about ``PER_SLOT`` changes.
+BUSY, PER_SLOT = 32, 16
 
 
 def announcements(framed: DataFrame) -> DataFrame:
@@ -75,16 +81,66 @@ def compacted(history: DataFrame, keys: list[str], value: list[str], order: list
     return old.unionByName(history.where(F.col("t") >= newest - horizon))
 
 
+class Timeline(NamedTuple):
+    """``rows``: KEY, slot and the array of entries. ``busy``: KEY, first change and slot width of exporters with several
+    slots, None where no exporter has."""
+    rows: DataFrame
+    busy: DataFrame | None
+
+    def unpersist(self) -> None:
+        for kept in self:
+            if kept is not None:
+                kept.unpersist()
+
+
+def timeline_of(changed: DataFrame, entity: list[str], entry: list[str], name: str, busy: int = BUSY) -> Timeline:
+    """Slots of a history of changes. ``entity`` names what a change replaces the value of, ``entry`` what is kept of it.
+
+    A change is listed in its own slot and at the start of the later ones, up to the slot of the next change of the same
+    entity. Times before the first change fall into the first slot, times after the last one into the last slot.
+    """
+    changed = settle(changed)
+    per_key = settle(changed.groupBy(*KEY).agg(F.count("*").alias("n"), F.min("t").alias("first"), F.max("t").alias("last")).where(
+        F.col("n") > busy).select(*KEY, "first", "last", F.greatest(F.lit(1).cast("bigint"), F.ceil(
+            (F.col("last") - F.col("first") + 1) / F.ceil(F.col("n") / PER_SLOT))).alias("width")))
+    entries = F.array_sort(F.collect_list(F.struct(*entry))).alias(name)
+    if per_key.isEmpty():
+        per_key.unpersist()
+        rows = settle(changed.groupBy(*KEY).agg(entries).withColumn("slot", F.lit(0).cast("bigint")))
+        changed.unpersist()
+        return Timeline(rows, None)
+    slot = F.coalesce(F.floor((F.col("t") - F.col("first")) / F.col("width")), F.lit(0)).cast("bigint")
+    placed = join_small(changed, per_key, KEY).withColumn("own", slot).withColumn(
+        "end", F.coalesce(F.floor((F.col("last") - F.col("first")) / F.col("width")), F.lit(0)).cast("bigint"))
+    following = F.lead("own").over(W.partitionBy(*entity).orderBy(*[c for c in ORDER if c in changed.columns]))
+    spread = placed.withColumn("until", F.coalesce(following, F.col("end"))).withColumn(
+        "slot", F.explode(F.sequence("own", "until")))
+    rows = settle(spread.groupBy(*KEY, "slot").agg(entries))
+    changed.unpersist()
+    return Timeline(rows, per_key)
+
+
+def join_timeline(packets: DataFrame, timeline: Timeline, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Packets with the entries of their slot; beyond the size that is broadcast, exporters are split over ``SALTS`` tasks."""
+    first = F.lit(0).cast("bigint")
+    if timeline.busy is None:
+        slotted = packets.withColumn("slot", first)
+    else:
+        last = F.floor((F.col("last") - F.col("first")) / F.col("width"))
+        own = F.floor((F.col("t") - F.col("first")) / F.col("width"))
+        slotted = join_small(packets, timeline.busy, KEY, limit=limit).withColumn(
+            "slot", F.coalesce(F.greatest(F.least(own, last), first), first).cast("bigint")).drop("first", "last", "width")
+    return join_small(slotted, timeline.rows, [*KEY, "slot"], limit=limit, salt=F.xxhash64("packet_id")).drop("slot")
+
+
 def template_timeline(framed: DataFrame, seed: DataFrame | None = None, with_fields: bool = False,
-                      drop: DataFrame | None = None) -> DataFrame:
-    """One row per (router, version, domain): ``templates``, the changes in order."""
-    return timeline_of(template_changes(framed, seed, drop), with_fields)
+                      drop: DataFrame | None = None) -> Timeline:
+    return templates_of(template_changes(framed, seed, drop), with_fields)
 
 
-def timeline_of(changed: DataFrame, with_fields: bool = False) -> DataFrame:
+def templates_of(changed: DataFrame, with_fields: bool = False) -> Timeline:
     entry = [*ORDER, "template_id", "layout"] + (["scopes", "fields"] if with_fields else [])
-    return changed.groupBy(*KEY).agg(
-        F.array_sort(F.collect_list(F.struct(*entry))).alias("templates"))
+    return timeline_of(changed, TEMPLATE_VALUE[0], entry, "templates")
 
 
 def _before(entry: Column, set_idx: Column) -> Column:
@@ -94,13 +150,14 @@ def _before(entry: Column, set_idx: Column) -> Column:
         (entry["packet_id"] < pid) | ((entry["packet_id"] == pid) & (entry["set_idx"] < set_idx))))
 
 
-def resolve_sets(framed: DataFrame, timeline: DataFrame, with_fields: bool = False) -> DataFrame:
+def resolve_sets(framed: DataFrame, timeline: Timeline, with_fields: bool = False,
+                 limit: int = BROADCAST_BYTES) -> DataFrame:
     """Packets with ``rsets`` (data sets and the layout each had on arrival) and their final ``error``.
 
     ``error_idx`` is the set that rejects the packet. A rejected packet keeps its ``rsets``; callers that
     want accepted data filter on ``error``.
     """
-    joined = join_small(framed, timeline, KEY)
+    joined = join_timeline(framed, timeline, limit)
     extra = ["scopes", "fields"] if with_fields else []
 
     def look_up(s):
@@ -153,24 +210,40 @@ def told_rates(resolved: DataFrame) -> DataFrame:
     return unnest(resolved, [*KEY, "t", "packet_id"], rate, "rate")
 
 
-def sampling_timeline(resolved: DataFrame, seed: DataFrame | None = None) -> DataFrame:
+def telling_packets(framed: DataFrame, timeline: Timeline) -> DataFrame:
+    """The packets that can tell a rate: those with a set whose id an options template with a rate field had at some time.
+
+    Ids are 16 bits wide, so they are few. Nothing is looked up for all other packets.
+    """
+    ids = timeline.rows.select(F.explode("templates").alias("e")).where("e.layout.rate_slot IS NOT NULL").agg(
+        F.collect_set("e.template_id")).first()[0]
+    return where_once(framed, F.exists("sets", lambda s: s["id"].isin(ids))) if ids else framed.where(F.lit(False))
+
+
+def sampling_timeline(resolved: DataFrame, seed: DataFrame | None = None) -> Timeline:
     return rates_of(sampling_changes(resolved, seed))
 
 
-def rates_of(changed: DataFrame) -> DataFrame:
-    return changed.groupBy(*KEY).agg(
-        F.array_sort(F.collect_list(F.struct("t", "packet_id", "rate"))).alias("rates"))
+def rates_of(changed: DataFrame) -> Timeline:
+    return timeline_of(changed, KEY, ["t", "packet_id", "rate"], "rates")
 
 
-def attach_sampling(resolved: DataFrame, timeline: DataFrame) -> DataFrame:
+def attach_sampling(resolved: DataFrame, timeline: Timeline, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Add ``sampling_rate``: the packet's own rate, else the last one told before it, else 0."""
-    joined = join_small(resolved, timeline, KEY)
+    joined = join_timeline(resolved, timeline, limit)
     t, pid = F.col("t"), F.col("packet_id")
     past = F.filter("rates", lambda r: (r["t"] < t) | ((r["t"] == t) & (r["packet_id"] <= pid)))
     rate = F.coalesce("own_rate", F.try_element_at(past, F.lit(-1))["rate"], F.lit(0))
     return joined.withColumn("sampling_rate", rate).drop("rates")
 
 
+def announcing(packets: DataFrame) -> DataFrame:
+    """The announcing packets, framed: keys, time, sets and templates, without the payload. One pass over all packets gives
+    this small settled table, and the history of templates follows from it alone."""
+    return settle(where_once(packets.select(*KEY, "t", "packet_id", "sets", "announced"),
+                             F.exists("sets", lambda s: s["id"] < 256)))
+
+
 def unlearnt_announcements(framed: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Announcements a collector never learns: those behind a set of the same packet whose template is missing.
 

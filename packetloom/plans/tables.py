@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_BYTES = 64 << 20
 
@@ -14,6 +14,13 @@ def unnest(df: DataFrame, keep: list, items, name: str) -> DataFrame:
     return df.select(*keep, F.explode_outer(items).alias(name)).where(F.col(name).isNotNull())
 
 
+def where_once(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows that fulfil a condition on computed arrays. A plain filter would be pushed below the projections that compute
+    them, which then run once more inside it, for each time a column is used."""
+    return df.select("*", F.explode_outer(F.when(condition, F.array(F.lit(True)))).alias("_kept")).where(
+        F.col("_kept").isNotNull()).drop("_kept")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute a small table once and keep it in the executors' memory and disks.
 
@@ -30,11 +37,21 @@ def table_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left",
-               limit: int = BROADCAST_BYTES) -> DataFrame:
+#: Tasks that the rows of one key are dealt to when a join by a hot key is shuffled.
+SALTS = 16
+
+
+def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "left", limit: int = BROADCAST_BYTES,
+               salt: Column | None = None) -> DataFrame:
     """Join a settled table to a big one: broadcast while its size is within ``limit``, else by shuffle.
 
-    Beyond the limit the join is a plain equi-join: adaptive execution splits the partitions of hot keys and repeats
-    the small side for them.
+    Beyond the limit a hot key's rows are dealt by ``salt`` (a hash over the big side) to ``SALTS`` tasks, to each of which the
+    small side is sent; without one, adaptive execution splits hot partitions.
     """
-    return big.join(F.broadcast(small) if table_bytes(small) <= limit else small, keys, how)
+    if table_bytes(small) <= limit:
+        return big.join(F.broadcast(small), keys, how)
+    if salt is None:
+        return big.join(small, keys, how)
+    dealt = big.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
+    each = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(each, [*keys, "_salt"], how).drop("_salt")

@@ -20,9 +20,8 @@ from packetloom.operators.netflow_flows import PACKET_COLUMNS, explode_records,
 from packetloom.operators.netflow_sets import FIELD_TYPE, frame
 from packetloom.operators.layout import with_layout
 from packetloom.operators.netflow_state import (ORDER, RATE_VALUE, TEMPLATE_VALUE, attach_sampling, changes, compacted, learnt,
-                                                rates_of, resolve_sets, timeline_of, told_rates,
+                                                rates_of, resolve_sets, templates_of, told_rates,
                                                 unlearnt_announcements)
-from packetloom.plans.tables import settle
 from packetloom.sources.packets import NETFLOW, of_channel
 
 TEMPLATE_HISTORY = (f"router string, version int, domain bigint, t bigint, packet_id bigint, set_idx int, rec_idx int, "
@@ -95,11 +94,11 @@ def netflow_batch(state_path: str, publish: Callable[[DataFrame, int], None],
             known = templates.before(batch_id)
             told = learnt(framed, unlearnt_announcements(framed, known))
             history = remembered(templates, known, told, TEMPLATE_VALUE, ORDER, batch_id)
-            small.append(settle(timeline_of(with_layout(changes(history, *TEMPLATE_VALUE, ORDER)))))
+            small.append(templates_of(with_layout(changes(history, *TEMPLATE_VALUE, ORDER))))
             resolved = resolve_sets(framed, small[-1])
             order = ["t", "packet_id"]
             rate_history = remembered(rates, rates.before(batch_id), told_rates(resolved), RATE_VALUE, order, batch_id)
-            small.append(settle(rates_of(changes(rate_history, *RATE_VALUE, order))))
+            small.append(rates_of(changes(rate_history, *RATE_VALUE, order)))
             rated = attach_sampling(resolved, small[-1])
             publish(project_flows(explode_records(rated, "data", [*PACKET_COLUMNS, "sampling_rate"])), batch_id)
             if reject is not None:
