@@ -55,11 +55,15 @@ def total_length(fields: Column) -> Column:
 
 def place_fields(fields: str, start: str) -> Column:
     """Fields with the offset each one has in a record, from SQL names of the array and its first offset."""
-    return F.expr(f"""
+    return F.expr(_placed_sql(fields, start))
+
+
+def _placed_sql(fields: str, start: str) -> str:
+    return f"""
         aggregate({fields}, named_struct('at', cast({start} as bigint), 'out', cast(array() as array<{_PLACED}>)),
             (acc, f) -> named_struct('at', acc.at + f.length, 'out', array_append(
                 acc.out, named_struct('type', f.type, 'length', f.length, 'at', acc.at))),
-            acc -> acc.out)""")
+            acc -> acc.out)"""
 
 
 # How a slot is picked: the ids that fill it, the bytes of the value it keeps, the widest field it accepts.
@@ -110,17 +114,15 @@ def _rate_slot() -> str:
     return sql_let("p", f"coalesce({found})", "p.at * 65536 + IF(p.length >= 4, 4, 0)")
 
 
-def with_layout(templates: DataFrame) -> DataFrame:
-    """Add ``layout`` (``LAYOUT_TYPE``) to rows with ``version``, ``kind``, ``scopes`` and ``fields``."""
+def _layout_sql() -> str:
+    """A layout from the names ``version``, ``kind``, ``fields``, ``placed`` (fields with offsets) and ``_scope_size``."""
     picks = ", ".join(f"named_struct('ids', array({', '.join(map(str, ids))}), 'width', {width}, 'widest', {widest})"
                       for ids, width, widest in _PICKS)
     picked = _last("array_contains(x.ids, f.type) AND f.length <= x.widest")
     others = ", ".join([_icmp_slot(ICMP_TYPE, 2), _icmp_slot(ICMP_CODE, 1), _time_slot(0, UPTIME_START),
                         _time_slot(1, UPTIME_END)])
-    placed = templates.withColumn("_scope_size", total_length(F.col("scopes"))).withColumn(
-        "placed", place_fields("fields", "_scope_size"))
     family = _last(f"f.type IN {_ids(V4_FIELDS + V6_FIELDS)}") + ".type"
-    layout = F.expr(f"""named_struct(
+    return f"""cast(named_struct(
         'kind', kind, 'size', _scope_size + aggregate(fields, 0L, (acc, f) -> acc + f.length),
         'slots', concat(
             transform(array({picks}), x -> {sql_let("p", picked, _tail_slot("p", "x.width"))}), array({others})),
@@ -130,5 +132,20 @@ def with_layout(templates: DataFrame) -> DataFrame:
         'etype', CASE WHEN {family} IN {_ids(V4_FIELDS)} THEN {0x800} WHEN {family} IN {_ids(V6_FIELDS)} THEN {0x86DD}
                       ELSE 0 END,
         'start_unit', {_time_unit(0)}, 'end_unit', {_time_unit(1)},
-        'rate_slot', IF(kind = 'options', {_rate_slot()}, null))""")
-    return placed.withColumn("layout", layout.cast(LAYOUT_TYPE)).drop("placed", "_scope_size")
+        'rate_slot', IF(kind = 'options', {_rate_slot()}, null)) AS {LAYOUT_TYPE})"""
+
+
+def with_layout(templates: DataFrame) -> DataFrame:
+    """Add ``layout`` (``LAYOUT_TYPE``) to rows with ``version``, ``kind``, ``scopes`` and ``fields``."""
+    placed = templates.withColumn("_scope_size", total_length(F.col("scopes"))).withColumn(
+        "placed", place_fields("fields", "_scope_size"))
+    return placed.withColumn("layout", F.expr(_layout_sql())).drop("placed", "_scope_size")
+
+
+def announced_layouts() -> Column:
+    """The templates a framed packet announces as (set_idx, template_id, layout), without leaving its row."""
+    sizes = "aggregate(a.scopes, 0L, (acc, f) -> acc + f.length)"
+    layout = sql_let("kind", "a.kind", sql_let("fields", "a.fields", sql_let("_scope_size", sizes, sql_let(
+        "placed", _placed_sql("fields", "_scope_size"), _layout_sql()))))
+    return F.expr(f"""transform(announced, a -> named_struct(
+        'set_idx', a.set_idx, 'template_id', a.template_id, 'layout', {layout}))""")

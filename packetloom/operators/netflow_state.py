@@ -167,18 +167,18 @@ def resolve_sets(framed: DataFrame, timeline: Timeline, with_fields: bool = Fals
                         last["layout"].alias("layout"), *[last[c].alias(c) for c in extra])
 
     found = joined.withColumn("rsets", F.transform(F.filter("sets", lambda s: s["id"] >= 256), look_up))
-    return _judge(found.drop("templates"))
+    return judged(found.drop("templates"))
 
 
-def _judge(found: DataFrame) -> DataFrame:
+def judged(found: DataFrame) -> DataFrame:
     """Add ``error`` and ``error_idx``: the first failing set of the packet decides."""
     missing = F.array_min(F.transform(F.filter("rsets", lambda s: s["layout"].isNull()), lambda s: s["idx"]))
     empty = F.array_min(F.transform(F.filter("rsets", lambda s: s["layout"]["size"] == 0), lambda s: s["idx"]))
-    judged = found.withColumns({"_missing": missing, "_empty": empty})
+    seen = found.withColumns({"_missing": missing, "_empty": empty})
     first = F.least("_missing", "_empty")  # nulls are skipped
     error = (F.when(F.col("_missing") == first, "template_not_found")
              .when(F.col("_empty") == first, "empty_template").otherwise(F.col("bad")))
-    return judged.withColumns({
+    return seen.withColumns({
         "error": error, "error_idx": F.coalesce(first, F.col("bad_idx")), "own_rate": own_sampling_rate(),
     }).drop("_missing", "_empty")
 
