@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from packetloom.llm.components import fresh
+from packetloom.llm.memory import tidy
 from packetloom.llm.words import slices
 
 DIM, WIDTH, STRIDE, FILTERS = 4, 8, 2, 24
@@ -237,7 +238,7 @@ def with_score(docs: DataFrame, model: dict, name: str = "score") -> DataFrame:
                 [*columns, name])
 
     kept = docs.select(*columns)
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
+    return kept.mapInArrow(tidy(run), T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, how: Training = Training()) -> DataFrame:

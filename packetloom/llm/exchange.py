@@ -23,6 +23,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from packetloom.llm.memory import tidy, tidy_group, tidy_pair
 from packetloom.llm.words import mix
 
 #: Text bytes of a batch, and text bytes for each key range. Both grow with a very large corpus, so that what a batch sends
@@ -142,7 +143,7 @@ def ask(docs: DataFrame, column: str, keys_of: Callable, how: Plan, width: int)
                 "crc": pa.array([crc] * len(rows), pa.int64()), "n": pa.array([t - s for _, s, t in rows], pa.int32()),
                 "blob": pa.array([counts[s:t].tobytes() + _packed(keys[s:t], width) for _, s, t in rows], pa.binary())})
 
-    return docs.select(column).mapInArrow(run, ASKED)
+    return docs.select(column).mapInArrow(tidy(run), ASKED)
 
 
 def answer(asked: DataFrame, width: int, signatures: bool) -> DataFrame:
@@ -171,7 +172,7 @@ def answer(asked: DataFrame, width: int, signatures: bool) -> DataFrame:
             at += n
         return pd.DataFrame({"b": rows.b, "p": rows.p, "crc": rows.crc, "n": rows.n, "blob": blobs})
 
-    return asked.groupBy("p").applyInPandas(run, ASKED)
+    return asked.groupBy("p").applyInPandas(tidy_group(run), ASKED)
 
 
 def shared(keys: np.ndarray, answers: pd.DataFrame, parts: int, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -202,5 +203,5 @@ def meet(docs: DataFrame, column: str, answers: DataFrame, back: Callable, how:
         batch = pa.ipc.open_stream(kept.column("docs")[0].as_buffer()).read_all().combine_chunks()
         return back(batch.to_batches()[0], told)
 
-    kept = docs.mapInArrow(pack, KEPT)
-    return kept.groupBy("b").cogroup(answers.groupBy("b")).applyInArrow(run, schema)
+    kept = docs.mapInArrow(tidy(pack), KEPT)
+    return kept.groupBy("b").cogroup(answers.groupBy("b")).applyInArrow(tidy_pair(run), schema)

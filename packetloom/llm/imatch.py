@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from packetloom.llm.components import fresh, settled
+from packetloom.llm.memory import tidy
 from packetloom.llm.words import mix, slices, window_hashes
 
 LOW, HIGH = 2.0, 10.0
@@ -76,7 +77,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
         if size:
             yield batch(*summed())
 
-    return docs.select("text").mapInArrow(run, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    return docs.select("text").mapInArrow(tidy(run), "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 def lexicon(docs: DataFrame, low: float = LOW, high: float = HIGH) -> np.ndarray:
@@ -224,7 +225,7 @@ def edited_neighbours(docs: DataFrame, known: np.ndarray) -> DataFrame:
         if texts:
             yield single(1, ids[0], texts[0])
 
-    steps = settled(rows.select("doc_id", "packed").mapInArrow(run, STEP))
+    steps = settled(rows.select("doc_id", "packed").mapInArrow(tidy(run), STEP))
     # one row per task, without texts: which task's first row follows which task's last
     before = F.coalesce(F.lag("task").over(W.orderBy("task")), F.max("task").over(W.partitionBy()))
     around = steps.where("kind = 2").select("task", before.alias("before"))

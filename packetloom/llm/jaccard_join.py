@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from packetloom.llm import exchange
 from packetloom.llm.components import components, fresh, settled
+from packetloom.llm.memory import tidy
 from packetloom.llm.words import Texts, slices, window_hashes
 
 PERCENT, SHINGLE = 85, 4
@@ -128,7 +129,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     one = sets.select(F.col("rep").alias("x"), F.col("n").alias("nx"), F.col("shared").alias("sx"))
     two = sets.select(F.col("rep").alias("y"), F.col("n").alias("ny"), F.col("shared").alias("sy"))
     return pairs.join(one, "x").join(two, "y").select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(
-        check, "x long, y long")
+        tidy(check), "x long, y long")
 
 
 def _pairs(joined: DataFrame) -> DataFrame:

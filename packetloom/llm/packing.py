@@ -19,10 +19,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from packetloom.llm.memory import tidy, tidy_group
+
 CAPACITY, END_ID = 4096, 1
 GROUP_DOCS = 60_000
 #: Bytes that a worker's remembered words may take, and what one takes besides its letters and ids.
-CACHE_BYTES, ENTRY_BYTES = 64 << 20, 190
+CACHE_BYTES, ENTRY_BYTES = 192 << 20, 190
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = PIECE + ", sequence_id long, offset long"
 
@@ -108,7 +110,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
                 pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, PIECE)
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(tidy(run), PIECE)
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,4 +153,4 @@ def pack(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, group_docs:
         bins, offsets = sum_of_squares(frame.length.to_numpy(), capacity)
         return frame.assign(sequence_id=(int(frame._group.iloc[0]) << 32) + bins, offset=offsets).drop(columns="_group")
 
-    return rows.groupBy("_group").applyInPandas(place, PACKED)
+    return rows.groupBy("_group").applyInPandas(tidy_group(place), PACKED)

@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
+from packetloom.llm.memory import tidy
+
 ROUNDS = 8
 ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâäãåçèéêëìíîïñòóôöõùúûüýÿß",
              "ÀÁÂÄÃÅÇÈÉÊËÌÍÎÏÑÒÓÔÖÕÙÚÛÜÝ"]
@@ -215,4 +217,4 @@ def pseudonymised(docs: DataFrame, key: bytes, column: str = "text", counted: st
             yield pa.RecordBatch.from_arrays(out, names)
 
     extra = [T.StructField(counted, T.LongType())] if counted else []
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *extra]))
+    return kept.mapInArrow(tidy(run), T.StructType([*kept.schema.fields, *extra]))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from packetloom.llm import exchange
 from packetloom.llm.components import fresh, settled
+from packetloom.llm.memory import tidy
 from packetloom.llm.words import SPACE, Texts, slices, window_hashes
 
 WIDTH = 35
@@ -171,4 +172,4 @@ def without_passages(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(texts, pa.string()) if c == "text" else frame.column(names.index(c)) for c in columns], columns)
 
-    return joined.mapInArrow(cut, docs.schema)
+    return joined.mapInArrow(tidy(cut), docs.schema)

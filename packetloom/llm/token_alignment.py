@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from packetloom.llm.components import settled
 from packetloom.llm.exchange import in_batches
+from packetloom.llm.memory import tidy
 from packetloom.llm.words import mix
 
 SLICE_BYTES, BATCH_CHUNKS = 2 << 20, 100_000
@@ -414,7 +415,7 @@ def counted_pairs(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         if size:
             yield batch()
 
-    return docs.select("text").mapInArrow(run, COUNTED)
+    return docs.select("text").mapInArrow(tidy(run), COUNTED)
 
 
 TABLE = "r int, hash binary, keys binary, counts binary, best binary"
@@ -555,7 +556,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, table_bytes: int = TABLE_
             figures, groups, _ = _figures(model, frame.column("text").to_pylist(), worth)
             yield _batch(frame.column("doc_id"), figures, groups)
 
-    return docs.mapInArrow(run, ALIGNED)
+    return docs.mapInArrow(tidy(run), ALIGNED)
 
 
 def _joined(docs: DataFrame, path_a: str, path_b: str, counts: DataFrame, size_b: int) -> DataFrame:
@@ -580,7 +581,7 @@ def _joined(docs: DataFrame, path_a: str, path_b: str, counts: DataFrame, size_b
             yield _batch(frame.column("doc_id"), out, groups, row_id=ids, pairs=pa.ListArray.from_arrays(sizes, pairs),
                          times=pa.ListArray.from_arrays(sizes, times))
 
-    rows = docs.mapInArrow(run, ALIGNED + ", row_id long, pairs array<long>, times array<long>")
+    rows = docs.mapInArrow(tidy(run), ALIGNED + ", row_id long, pairs array<long>, times array<long>")
     links = rows.select("row_id", F.explode(F.arrays_zip("pairs", "times")).alias("x")).select(
         "row_id", F.floor(F.col("x.pairs") / size_b).alias("a"), (F.col("x.pairs") % size_b).alias("b"), "x.times")
     worth = links.join(counts, ["a", "b"]).groupBy("row_id").agg(
