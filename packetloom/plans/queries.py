@@ -8,20 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from packetloom.functions import render
 from packetloom.functions.names import IPFIX_FLOW_ELEMENTS, with_field_name
 from packetloom.functions.text import flow_type_name, ip_text, mac_text
 from packetloom.operators import analytics, describe, health, netflow5, sflow
 from packetloom.operators.netflow_flows import flows_from_netflow, resolve, with_sampling
-from packetloom.operators.netflow_sets import frame
+from packetloom.operators.netflow_sets import data_sets, frame, options_template_sets, template_sets
 from packetloom.operators.netflow_state import sampling_changes
 from packetloom.operators.sflow_flows import flows_from_sflow
 from packetloom.plans import roundtrip as rt
-from packetloom.plans.union import errors_of, flows_of
+from packetloom.plans.tables import fresh_folder
+from packetloom.plans.union import ERRORS, errors_of, flows_of, with_live_counts
 from packetloom.schema import FLOW_KIND
-from packetloom.sources.sinks import distribute, flows_to_messages, register_flows
+from packetloom.sources.packets import read_packets
+from packetloom.sources.sinks import (distribute, flows_to_json, flows_to_messages, flows_to_text, read_json_lines, register_flows,
+                                      write_lines, write_messages)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -391,6 +394,18 @@ frame_query("sflow_hdr_icmp", SF_BASE | {"Proto": "1", "IcmpType": "pk % 256", "
             lambda: rt.ethernet_hex(0x800, rt.ipv4_hex(1, rt.src_number(), rt.dst_number()),
                                     rt.be_hex(F.col("pk") % 256, 1), rt.be_hex(F.col("ln"), 1)))
 
+# an ICMP header, a tagged one and a plain one in each sample: the ICMP word and the tag outlive the last header
+@register("sflow_several_headers", select_sql(SF_BASE | L4 | HEADER4 | {
+    "VlanId": "sk % 4096", "IcmpType": "CASE WHEN proto = 1 THEN ln ELSE pk % 256 END",
+    "IcmpCode": "CASE WHEN proto = 1 THEN sk % 16 ELSE ln END"}))
+def _(spark, sf_dir):
+    icmp = rt.ethernet_hex(0x800, rt.ipv4_hex(1, rt.src_number(), rt.dst_number()), rt.be_hex(F.col("pk") % 256, 1),
+                           rt.be_hex(F.col("ln"), 1))
+    tagged = rt.ethernet_hex(0x8100, rt.be_hex(F.col("sk") % 4096, 2), F.lit("0806"), F.lit("00" * 28))
+    rows = sf_flows(spark, sf_dir, *[rt.raw_hex(h) for h in (icmp, tagged, rt.ethernet_hex(0x800, plain4()))])
+    return shown(rows, SF_BASE | L4 | HEADER4 | dict.fromkeys(["VlanId", "IcmpType", "IcmpCode"]))
+
+
 OUTER_SRC, OUTER_DST = dotted("3221225984 + ln"), dotted("3221225984 + ln + 1")
 OUTER = {"SrcAddr": OUTER_SRC, "DstAddr": OUTER_DST, "Proto": "47", "IPTTL": "99", "IPTos": "3", "FragmentId": "ln"}
 INNER = {"SrcAddr": SRC6, "DstAddr": DST6, "Proto": PROTO6["Proto"], "IPTTL": "ln", "IPTos": "pk % 64", "FragmentId": "ln"}
@@ -749,3 +764,109 @@ def _(spark, sf_dir):
         level(24, 256, rt.int_div(sk, 256) % 2 == 0)).unionByName(level(8, 1 << 24, F.lit(True)))
     rows = analytics.longest_prefix_match(v5_flows(spark, sf_dir), prefixes, "SrcAddr")
     return rows.groupBy("asn").agg(F.sum("Bytes").cast("bigint").alias("bytes"), F.count("*").alias("flows"))
+
+
+# --- stored packets, guards, files ------------------------------------------------------------------------------
+
+def order_packets(spark: SparkSession, sf_dir: str, tail: Column) -> DataFrame:
+    """A NetFlow v5 packet with one record per order, and what ``tail`` puts behind it. Every seventh has another version,
+    every fifth declares more records than a packet may."""
+    ok = F.col("o_orderkey")
+    version = F.when(ok % 7 == 0, 8).otherwise(5)
+    count = F.when(ok % 5 == 0, 1366 + ok % 100).otherwise(1)
+    head = F.concat(rt.be_hex(version, 2), rt.be_hex(count, 2), F.lit("00" * 20))
+    record = F.concat(rt.be_hex(167772160 + F.col("o_custkey"), 4), F.lit("00" * 16), rt.be_hex(ok, 4), F.lit("00" * 24))
+    return rt.table(spark, sf_dir, "orders").select(
+        ok.alias("packet_id"), F.lit("NetFlowV5").alias("channel"), rt.v4(3221225984 + ok % 16).alias("src"), F.lit(2056).alias("src_port"),
+        rt.from_hex(head, record, tail).alias("payload"), F.to_timestamp("o_orderdate").alias("recv_time"))
+
+
+@register("packets_stored", """SELECT o_orderkey % 4 AS longer, count(*) AS packets,
+    CAST(sum(least(72 + 8910 + 8 * (o_orderkey % 4), 9000)) AS BIGINT) AS bytes_read,
+    CAST(sum(CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 <> 0 THEN o_orderkey ELSE 0 END) AS BIGINT) AS bytes_seen
+    FROM orders GROUP BY 1""")
+def _(spark, sf_dir):
+    # written to a packet table and read from it; datagrams beyond the read buffer are cut
+    longer = F.col("o_orderkey") % 4
+    path = fresh_folder(spark, "packets")
+    order_packets(spark, sf_dir, F.repeat(F.lit("00"), (8910 + 8 * longer).cast("int"))).write.parquet(path)
+    packets = read_packets(spark, path)
+    seen = netflow5.flows_from_netflow5(packets).groupBy("packet_id").agg(F.sum("Bytes").alias("seen"))
+    rows = packets.select("packet_id", F.octet_length("payload").alias("size")).join(seen, "packet_id", "left")
+    return rows.groupBy((F.col("packet_id") % 4).alias("longer")).agg(
+        F.count("*").alias("packets"), F.sum("size").cast("bigint").alias("bytes_read"),
+        F.coalesce(F.sum("seen"), F.lit(0)).cast("bigint").alias("bytes_seen"))
+
+
+GUARD_SQL = """SELECT error, count(*) AS packets FROM (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'error_version'
+    WHEN o_orderkey % 5 = 0 THEN 'error_decoding' END AS error FROM orders) GROUP BY 1"""
+
+
+@register("v5_count_guard", GUARD_SQL)
+def _(spark, sf_dir):
+    heads = netflow5.read_headers(order_packets(spark, sf_dir, F.lit("")))
+    return heads.groupBy("error").agg(F.count("*").alias("packets"))
+
+
+@register("errors_observed", f"""SELECT coalesce(error, 'packets') AS error, CASE WHEN error IS NULL THEN
+    (SELECT count(*) FROM orders) ELSE packets END AS packets FROM ({GUARD_SQL})""")
+def _(spark, sf_dir):
+    # counted while another job runs over the rows
+    watch = Observation("packets")
+    heads = netflow5.read_headers(order_packets(spark, sf_dir, F.lit("")))
+    with_live_counts(heads, watch).select("error").write.format("noop").mode("overwrite").save()
+    counts = [(k, v) for k, v in watch.get.items() if v and k in ["packets", *ERRORS]]
+    return spark.createDataFrame(counts, "error string, packets bigint")
+
+
+@register("nf_sets_by_kind", f"""SELECT {dotted('167837696 + s_suppkey')} AS router, v.kind AS kind, CAST(v.n AS BIGINT) AS sets,
+    CAST(v.n * v.least_id AS BIGINT) AS ids FROM supplier CROSS JOIN
+    (VALUES ('template', 2, 0), ('options template', 1, 1), ('data', 2, 400)) AS v(kind, n, least_id)""")
+def _(spark, sf_dir):
+    # the two packets by which every exporter sets up
+    framed = frame(rt.netflow_packets(spark, sf_dir, 9)).where("packet_id < 0")
+    kinds = [("template", template_sets), ("options template", options_template_sets), ("data", data_sets)]
+    rows = [of(framed).select("router", F.lit(kind).alias("kind"), "id") for kind, of in kinds]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2]).groupBy("router", "kind").agg(
+        F.count("*").alias("sets"), F.sum("id").cast("bigint").alias("ids"))
+
+
+@register("text_sink", ORACLES["render_text"])
+def _(spark, sf_dir):
+    path = fresh_folder(spark, "text")
+    write_lines(flows_to_text(v5_flows(spark, sf_dir), LINE_FIELDS), path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
+@register("json_sink", f"{LI} SELECT {', '.join(f'{s} AS {n}' for n, s in LINE_SQL.items())} FROM li")
+def _(spark, sf_dir):
+    path = fresh_folder(spark, "json")
+    write_lines(flows_to_json(v5_flows(spark, sf_dir), LINE_FIELDS), path)
+    return read_json_lines(spark, path, LINE_FIELDS)
+
+
+@register("message_log", ORACLES["messages"])
+def _(spark, sf_dir):
+    path = fresh_folder(spark, "messages")
+    write_messages(flows_to_messages(v5_flows(spark, sf_dir), key=["SamplerAddress", "DstAS"], value=render.json_line("Bytes")),
+                   path=path)
+    return spark.read.parquet(path)
+
+
+# the same levels as lpm_asn under an IPv6 network: /104, /120, /124 and /128
+@register("lpm_asn6", ORACLES["lpm_asn"].replace("ELSE 8000000", "ELSE 104000000").replace("24000000 +", "120000000 +").replace(
+    "28000000 +", "124000000 +").replace("32000000 +", "128000000 +"))
+def _(spark, sf_dir):
+    sk = F.col("s_suppkey")
+    suppliers = rt.table(spark, sf_dir, "supplier")
+
+    def level(length, size, where):
+        network = rt.from_hex(F.lit("20010db8" + "0" * 16), rt.be_hex(167772160 + rt.int_div(sk, size) * size, 4))
+        return suppliers.where(where).select(network.alias("network"), F.lit(length).alias("prefix_len"),
+                                             (length * 1_000_000 + rt.int_div(sk, size)).cast("bigint").alias("asn")).distinct()
+
+    prefixes = level(128, 1, sk % 7 == 0).unionByName(level(124, 16, rt.int_div(sk, 16) % 3 == 0)).unionByName(
+        level(120, 256, rt.int_div(sk, 256) % 2 == 0)).unionByName(level(104, 1 << 24, F.lit(True)))
+    flows = sf_flows(spark, sf_dir, rt.ip_record_hex(True))
+    return analytics.longest_prefix_match(flows, prefixes, "SrcAddr").groupBy("asn").agg(
+        F.sum("Bytes").cast("bigint").alias("bytes"), F.count("*").alias("flows"))

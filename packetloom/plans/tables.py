@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from functools import lru_cache
+
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_BYTES = 64 << 20
 
@@ -55,3 +59,16 @@ def join_small(big: DataFrame, small: DataFrame, keys: list[str], how: str = "le
     dealt = big.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int"))
     each = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return dealt.join(each, [*keys, "_salt"], how).drop("_salt")
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="packetloom-")
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new place under the folder that ``spark.checkpoint.dir`` names; on one machine without the setting, one of its own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{folder or _own_folder()}/{name}-{uuid.uuid4().hex}"

@@ -16,13 +16,25 @@ SFLOW, NETFLOW, NETFLOW5 = "sFlow", "NetFlow", "NetFlowV5"
 CHANNEL_PORT = {SFLOW: 6343, NETFLOW: 2055, NETFLOW5: 2056}
 
 
-def read_packets(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    return spark.read.format(fmt).schema(PACKET_SCHEMA).options(**options).load(path)
+#: Bytes of a datagram that a collector reads.
+READ_BYTES = 9000
 
 
-def read_packet_stream(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+def as_read(packets: DataFrame, read_bytes: int | None = READ_BYTES) -> DataFrame:
+    """Payloads as a collector has them, which cuts longer datagrams off at its read buffer; ``None`` cuts nothing."""
+    if read_bytes is None:
+        return packets
+    return packets.withColumn("payload", F.substring("payload", 1, read_bytes))
+
+
+def read_packets(spark: SparkSession, path: str, fmt: str = "parquet", read_bytes: int | None = READ_BYTES, **options) -> DataFrame:
+    return as_read(spark.read.format(fmt).schema(PACKET_SCHEMA).options(**options).load(path), read_bytes)
+
+
+def read_packet_stream(spark: SparkSession, path: str, fmt: str = "parquet", read_bytes: int | None = READ_BYTES,
+                       **options) -> DataFrame:
     """Packet stream over a directory; pass e.g. ``maxFilesPerTrigger`` to bound a micro-batch."""
-    return spark.readStream.format(fmt).schema(PACKET_SCHEMA).options(**options).load(path)
+    return as_read(spark.readStream.format(fmt).schema(PACKET_SCHEMA).options(**options).load(path), read_bytes)
 
 
 def packets_from_kafka(records: DataFrame, channel: str) -> DataFrame:

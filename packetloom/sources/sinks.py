@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from packetloom.functions.render import json_line, partition_key, text_line
 
@@ -18,6 +19,17 @@ def flows_to_json(flows: DataFrame, fields=None) -> DataFrame:
     return flows.select(json_line(fields).alias("value"))
 
 
+def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
+    """Text or JSON lines (one ``value`` column) to text files."""
+    lines.write.mode(mode).text(path)
+
+
+def read_json_lines(spark: SparkSession, path: str, fields: list[str]) -> DataFrame:
+    """What ``flows_to_json`` wrote, every value a string as it was rendered."""
+    schema = StructType([StructField(f, StringType()) for f in fields])
+    return spark.read.schema(schema).json(path)
+
+
 def flows_to_messages(flows: DataFrame, topic: str = DEFAULT_TOPIC, key: list[str] | None = None,
                       value=None) -> DataFrame:
     """One (topic, key, value) row per flow. No ``key`` means unkeyed; the value is the JSON line by default."""

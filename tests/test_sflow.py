@@ -113,6 +113,26 @@ def test_dissection(spark):
          "EtypeEncap": 0x800, "FragmentId": 23_559}])
 
 
+def test_several_headers_of_one_sample(spark):
+    icmp = raw(ethernet(0x800, ipv4(1), b"\x08\x03"))
+    plain = raw(ethernet(0x800, ipv4(6), tcp(1, 2)))
+    tag = raw(ethernet(0x8100, b"\0\x20\x08\0", ipv4(17), udp(7, 8)))
+    deep = raw(ethernet(0x800, ipv4(47), gre(0x86DD), ipv6(58), b"\x87\x05"))
+    many = [switch(1, 2)] * 9
+    last = {"Proto": 6, "SrcPort": 1, "TCPFlags": 24}
+    cases = [
+        ([icmp, plain], last | {"IcmpType": 8, "IcmpCode": 3, "VlanId": 0}),
+        ([tag, plain], last | {"VlanId": 32, "Etype": 0x800, "IcmpType": 0}),
+        ([icmp, tag, plain], last | {"IcmpType": 8, "IcmpCode": 3, "VlanId": 32}),
+        ([icmp, deep, plain], last | {"IcmpType": 0x87, "IcmpCode": 5, "HasEncap": False}),
+        ([deep, icmp], {"IcmpType": 8, "IcmpCode": 3, "Proto": 1, "HasEncap": False}),
+        ([plain, icmp], {"IcmpType": 8, "IcmpCode": 3, "SrcPort": 0, "TCPFlags": 0}),
+        ([icmp, raw(b"short"), raw(b"x" * 20, protocol=11)], {"IcmpType": 8, "IcmpCode": 3, "Proto": 1}),
+        ([icmp, tag, *many, plain], last | {"IcmpType": 8, "VlanId": 32, "SrcVlan": 1}),
+    ]
+    check(flows(spark, [datagram(flow_sample(*r)) for r, _ in cases]), [w for _, w in cases])
+
+
 def test_records_fold_in_order(spark):
     ip_record = tlv(3, struct.pack(">II4s4sIIII", 500, 17, v4("1.1.1.1"), v4("2.2.2.2"), 5, 6, 3, 9))
     ip6_record = tlv(4, struct.pack(">II", 600, 6) + bytes(15) + b"\1" + bytes(15) + b"\2" + struct.pack(">IIII", 7, 8, 0, 4))
