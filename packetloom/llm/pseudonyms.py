@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, types as T
 
 from packetloom.llm.memory import tidy
 
-ROUNDS = 8
+ROUNDS, LONGEST = 8, 512
 ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "àáâäãåçèéêëìíîïñòóôöõùúûüýÿß",
              "ÀÁÂÄÃÅÇÈÉÊËÌÍÎÏÑÒÓÔÖÕÙÚÛÜÝ"]
 _CLASS = {c: (alphabet, i) for alphabet in ALPHABETS for i, c in enumerate(alphabet)}
@@ -69,7 +69,14 @@ class Feistel:
         return left * b + right
 
     def digits(self, kind: str, values: list[int], radix: list[int], back: bool = False) -> list[int]:
-        """A mixed-radix number, digit by digit, permuted among all of its radices."""
+        """A mixed-radix number, digit by digit, permuted among all of its radices, ``LONGEST`` of them at a time, so that a
+        value of any length takes time in proportion."""
+        out = []
+        for n, at in enumerate(range(0, len(values), LONGEST)):
+            out += self._block(f"{kind}#{n}" if n else kind, values[at:at + LONGEST], radix[at:at + LONGEST], back)
+        return out
+
+    def _block(self, kind: str, values: list[int], radix: list[int], back: bool) -> list[int]:
         half = len(radix) // 2
         a, b = 1, 1
         for r in radix[:half]:

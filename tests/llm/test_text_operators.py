@@ -344,3 +344,12 @@ def test_empty_tables(spark, documents):
     assert pieces.coded(none, vocabulary("piece_bpe_32k.model")).count() == 0
     assert pseudonyms.pseudonymised(none, b"k", counted="n").count() == 0
     assert license_scan.scan(none).count() == 0
+
+
+def test_values_of_any_length_are_permuted_and_restored():
+    dump = "".join(f"{i * 2654435761 % 65536:04x}" for i in range(50_000))
+    text = f"before {dump} between {dump} after {dump[:8000]}"
+    hidden, n = pseudonyms.replace(pseudonyms.Feistel(b"k"), text)
+    parts = hidden.split(" ")
+    assert n == 3 and parts[1] == parts[3] != dump and len(hidden) == len(text)
+    assert pseudonyms.replace(pseudonyms.Feistel(b"k"), hidden, back=True) == (text, 3)
