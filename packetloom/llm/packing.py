@@ -33,8 +33,8 @@ class WordIds:
     """Token ids of white-space-separated words, as packed 32-bit numbers, for a tokenizer that never joins words.
 
     Words of ASCII and Latin-1 letters go to the model directly, lower-cased and cut as the tokenizer's own pattern does;
-    all others take the tokenizer's whole way. Words and their parts are remembered within ``CACHE_BYTES``, of which each of two
-    generations has half; the older one goes when the younger is full.
+    all others take the tokenizer's whole way. Words and their parts are remembered within ``CACHE_BYTES``: a third for the parts, and
+    one for each of two generations of words, of which the older one goes when the younger is full.
     """
     PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
     PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
@@ -55,15 +55,17 @@ class WordIds:
         self.words: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {}
-        self.bytes = 0
+        self.bytes = self.part_bytes = 0
 
     def _part(self, part: str) -> bytes:
         known = self.parts.get(part)
         if known is None:
             ids = [t.id for t in self.model.tokenize(part.translate(self.shown))]
             known = struct.pack(f"<{len(ids)}I", *ids)
+            if self.part_bytes > CACHE_BYTES // 3:
+                self.parts, self.part_bytes = {}, 0
             self.parts[part] = known
-            self.bytes += len(part) + len(known) + ENTRY_BYTES
+            self.part_bytes += len(part) + len(known) + ENTRY_BYTES
         return known
 
     def _new(self, raw: bytes) -> bytes:
@@ -82,8 +84,8 @@ class WordIds:
                     ids = self.words.get(word) or self.old.get(word) or self._new(word)
                     self.words[word] = found[i] = ids
                     self.bytes += len(word) + len(ids) + ENTRY_BYTES
-                    if self.bytes > CACHE_BYTES // 2:
-                        self.old, self.words, self.parts, self.bytes = self.words, {}, {}, 0
+                    if self.bytes > CACHE_BYTES // 3:
+                        self.old, self.words, self.bytes = self.words, {}, 0
         return b"".join(found)
 
 
