@@ -39,8 +39,9 @@ def fresh(df: DataFrame, name: str) -> str:
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over ``links`` (x, y). Nodes without a link are not listed.
 
-    Every round takes the smallest label around a node and then the label of that label, so chains shorten by
-    half. Links are only joined and aggregated; a node with very many links is summed up map-side first.
+    Every round takes the smallest label around a node, tells it to the node that gave the label before, and then takes
+    the label of that label, so chains shorten by half in whatever order their nodes come. Links are only joined and
+    aggregated; a node with very many links is summed up map-side first.
     """
     both = settled(links.select("x", "y").union(links.select("y", "x")).where("x <> y").distinct())
     label = both.groupBy("x").agg(F.min("y").alias("y")).select(
@@ -51,6 +52,8 @@ def components(links: DataFrame) -> DataFrame:
             F.col("x").alias("node")).agg(F.min("seen").alias("seen"))
         nearer = label.join(around, "node").select("node", F.col("component").alias("old"),
                                                    F.least("component", "seen").alias("component"))
+        told = nearer.union(nearer.select(F.col("old").alias("node"), F.lit(None).cast(nearer.schema["old"].dataType), "component"))
+        nearer = told.groupBy("node").agg(F.max("old").alias("old"), F.min("component").alias("component"))
         up = label.select(F.col("node").alias("component"), F.col("component").alias("above"))
         after = settled(nearer.join(up, "component", "left").select(
             "node", "old", F.least("component", F.coalesce("above", "component")).alias("component")))

@@ -160,7 +160,7 @@ def answer(asked: DataFrame, width: int, signatures: bool) -> DataFrame:
         of_key = np.empty(len(keys), np.uint32)
         of_key[order] = np.repeat(np.arange(len(new), dtype=np.uint32), np.diff(np.append(new, len(keys))))
         del keys
-        total = value = np.add.reduceat(counts[order].astype(np.uint32), new)
+        total = value = np.add.reduceat(counts[order], new, dtype=np.uint32)  # as wide as it is read
         if signatures:
             mark = np.repeat(mix(rows.b.to_numpy(np.uint64)), rows.n)
             value = np.add.reduceat(mark[order] * counts[order], new).astype(np.uint32)
@@ -182,7 +182,9 @@ def shared(keys: np.ndarray, answers: pd.DataFrame, parts: int, width: int) -> t
         if at[p + 1] - at[p] != n:
             raise RuntimeError("a batch is not what its answers are for; read the documents from stored tables")
         own = keys[at[p]:at[p + 1]][np.unpackbits(np.frombuffer(blob, np.uint8, -(-n // 8)), count=n).astype(bool)]
-        found.append((own, np.frombuffer(blob, np.uint32, len(own), -(-n // 8))))
+        found.append((own, np.frombuffer(blob, np.uint32, offset=-(-n // 8))))
+        if len(found[-1][1]) != len(own):
+            raise RuntimeError("answers of another width than four bytes")
     return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
 
 

@@ -28,25 +28,27 @@ from packetloom.llm.words import Texts, slices, window_hashes
 
 PERCENT, SHINGLE = 85, 4
 SKETCH_WORDS = 8
+#: Shingles travel with all their 64 bits (see ``exchange.BITS``).
+KEY_BYTES = 6
 BLOCK = 512
 #: Sets in lists of several are sent to every executor while their number is at most this; beyond it they are joined.
 FEW_SETS = 1_000_000
-FOUND = ("doc_id long, n long, same binary, lead int, prefix array<long>, shared binary, "
+FOUND = ("doc_id long, n long, same long, lead int, prefix array<long>, shared binary, "
          + ", ".join(f"s{i} long" for i in range(SKETCH_WORDS)))
 
 
 def shingle_sets(texts: Texts, size: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes (48 bits) of every text; shorter texts are one shingle, texts without words none."""
+    """Sorted distinct shingle hashes (64 bits) of every text; shorter texts are one shingle, texts without words none."""
     words = texts.word_hashes(lower=True)
     at = texts.windows(size)
-    hashes = window_hashes(words, at, size) >> np.uint64(16)
+    hashes = window_hashes(words, at, size)
     cut = np.searchsorted(at, texts.first)
     out = []
     for i in range(len(texts)):
         own = hashes[cut[i]:cut[i + 1]]
         if not len(own) and texts.first[i + 1] > texts.first[i]:
             n = texts.first[i + 1] - texts.first[i]
-            own = window_hashes(words, texts.first[i:i + 1], n) >> np.uint64(16)
+            own = window_hashes(words, texts.first[i:i + 1], n)
         if len(own) > 1:
             own = np.sort(own)
             own = own[np.concatenate([[True], own[1:] != own[:-1]])]
@@ -65,7 +67,8 @@ def _keys(size: int):
 
 def _sketch(own: np.ndarray) -> np.ndarray:
     """Parity of how many shingles fall on each of 512 bits: bits that differ never outnumber differing shingles."""
-    parity = np.bincount(own.astype(np.int64) % (64 * SKETCH_WORDS), minlength=64 * SKETCH_WORDS) & 1
+    bits = (own % np.uint64(64 * SKETCH_WORDS)).astype(np.int64)
+    parity = np.bincount(bits, minlength=64 * SKETCH_WORDS) & 1
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
@@ -73,7 +76,7 @@ def _sets(parts: int, size: int, percent: int):
     def back(batch: pa.RecordBatch, answers) -> pa.Table:
         sets = [x for _, texts in slices(batch.column("text")) for x in shingle_sets(texts, size)]
         keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]))
-        shared, often = exchange.shared(keys, answers, parts, 4)
+        shared, often = exchange.shared(keys, answers, parts, KEY_BYTES)
         rows = {k: [] for k in ("n", "same", "lead", "prefix", "shared")}
         sketches = np.zeros((len(sets), SKETCH_WORDS), np.int64)
         for i, own in enumerate(sets):
@@ -85,14 +88,14 @@ def _sets(parts: int, size: int, percent: int):
             if len(common) and lead < prefix:
                 tokens = own[common]
                 order = np.lexsort((tokens, often[at[common]]))[:prefix - lead]
-                row = (n, hashlib.sha256(own.tobytes()).digest()[:16], lead, tokens[order].view(np.int64),
-                       own[common].view(np.uint16).reshape(-1, 4)[:, :3].tobytes())
+                same = int.from_bytes(hashlib.sha256(own.tobytes()).digest()[:8], "little", signed=True)
+                row = (n, same, lead, tokens[order].view(np.int64), tokens.tobytes())
                 sketches[i] = _sketch(own)
             for k, v in zip(rows, row, strict=True):
                 rows[k].append(v)
         longs = pa.list_(pa.int64())
         return pa.table({"doc_id": batch.column("doc_id").cast(pa.int64()), "n": pa.array(rows["n"], pa.int64()),
-                         "same": pa.array(rows["same"], pa.binary()), "lead": pa.array(rows["lead"], pa.int32()),
+                         "same": pa.array(rows["same"], pa.int64()), "lead": pa.array(rows["lead"], pa.int32()),
                          "prefix": pa.array(rows["prefix"], longs), "shared": pa.array(rows["shared"], pa.binary()),
                          **{f"s{i}": pa.array(sketches[:, i]) for i in range(SKETCH_WORDS)}})
 
@@ -117,11 +120,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = np.zeros(f.num_rows, bool)
             columns = [f.column(c).to_pylist() for c in ("nx", "ny", "sx", "sy")]
             for i, (nx, ny, sx, sy) in enumerate(zip(*columns, strict=True)):
-                one, two = (np.frombuffer(s, "V6") for s in (sx, sy))
-                wide = [np.zeros((len(s), 4), np.uint16) for s in (one, two)]
-                for w, s in zip(wide, (one, two), strict=True):
-                    w[:, :3] = s.view(np.uint16).reshape(-1, 3)
-                both = np.sort(np.concatenate([w.view(np.uint64).ravel() for w in wide]))
+                both = np.sort(np.frombuffer(sx + sy, np.uint64))
                 same = int((both[1:] == both[:-1]).sum())
                 keep[i] = 100 * same >= percent * (nx + ny - same)
             yield f.select(["x", "y"]).filter(pa.array(keep))
@@ -140,28 +139,28 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text; more columns are not read).
 
     Documents link when 100 * intersection >= percent * union of their shingle sets; ``component_id`` is the smallest
-    doc_id reachable by links, null for a null doc_id. Null texts and texts without words have an empty set and link with nothing. Repeated rows
-    give repeated rows of the result. An empty table gives an empty one.
+    doc_id reachable by links, null for a null doc_id. Null texts and texts without words have an empty set and link with nothing. Every row
+    is a document: rows without a doc_id link others through them, and rows that repeat a doc_id with another text are
+    linked by their own text. Repeated rows give repeated rows of the result. An empty table gives an empty one.
     """
     docs = docs.select("doc_id", "text")
     how = exchange.plan(docs, "text")
-    answers = exchange.answer(exchange.ask(docs, "text", _keys(shingle), how, 4), 4, signatures=False)
+    answers = exchange.answer(exchange.ask(docs, "text", _keys(shingle), how, KEY_BYTES), KEY_BYTES, signatures=False)
     found = settled(exchange.meet(docs, "text", answers, _sets(how.parts, shingle, percent), how, FOUND))
     sketch = [f"s{i}" for i in range(SKETCH_WORDS)]
-    small = found.where(F.col("same").isNotNull() & F.col("doc_id").isNotNull()).select(
-        "same", F.struct("doc_id", "n", "lead", "prefix", *sketch).alias("s"))
-    reps = settled(small.groupBy("same").agg(F.min_by("s", "s.doc_id").alias("s")).select(
-        "same", F.col("s.doc_id").alias("rep"), *[f"s.{c}" for c in ("n", "lead", "prefix", *sketch)]))
+    # a set is named by its hash, as a doc_id may be null or stand for several texts; equal sets have equal rows
+    reps = settled(found.where("same is not null").groupBy(F.col("same").alias("rep")).agg(
+        F.min("doc_id").alias("id"), F.first(F.struct("n", "lead", "prefix", *sketch)).alias("s")).select("rep", "id", "s.*"))
     listed = reps.select("rep", "n", *sketch, "lead", F.posexplode("prefix").alias("k", "token")).select(
         "token", F.struct("rep", "n", (F.col("lead") + F.col("k")).alias("pos"), *sketch).alias("a"))
     # one set of each list, another one in each list, is answered first
     first = listed.groupBy("token").agg(F.count("*").alias("m"), F.min_by("a", F.xxhash64("token", "a.rep")).alias("b"))
     listed = settled(listed.join(first.where("m > 1"), "token"))
     stars = settled(_pairs(listed.where((F.col("a.rep") != F.col("b.rep")) & _possible(percent))))
-    # sets in lists of several, once each; the set of a repeated doc_id is any of its rows'
+    # sets in lists of several, once each
     ids = settled(listed.select("a.rep").distinct())
     wanted = F.broadcast(ids) if ids.count() <= FEW_SETS else ids
-    sets = settled(found.where("same is not null").select(F.col("doc_id").alias("rep"), "n", "shared").join(
+    sets = settled(found.where("same is not null").select(F.col("same").alias("rep"), "n", "shared").join(
         wanted, "rep", "left_semi").dropDuplicates(["rep"]))
     links = settled(_verified(stars, sets, percent))
     known = components(links)
@@ -192,9 +191,11 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     final = known.join(above.select(F.col("node").alias("component"), F.col("component").alias("_top")),
                        "component", "left").select("node", F.coalesce("_top", "component").alias("component")).union(
         above.join(known.select("node"), "node", "left_anti").select("node", "component"))
-    group = reps.select("same", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "same", F.coalesce("component", "rep").alias("component"))
-    # a component's smallest set is its smallest document, as a set stands for the smallest of its documents
+    linked = final.join(reps.select(F.col("rep").alias("node"), "id"), "node")
+    lowest = linked.groupBy("component").agg(F.min("id").alias("low"))
+    low = linked.join(lowest, "component").select(F.col("node").alias("rep"), "low")
+    group = reps.select("rep", "id").join(low, "rep", "left").select(
+        F.col("rep").alias("same"), F.coalesce("low", "id").alias("component"))
     return found.select("doc_id", "n", "same").join(group, "same", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(
             F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -1,11 +1,13 @@
 """Batches that do not depend on how Spark cuts Arrow frames."""
 
 import random
+from collections import Counter
 
 import pyarrow as pa
 import pytest
 
-from packetloom.llm import exchange, jaccard_join, substring_dedup
+from packetloom.llm import components, exchange, jaccard_join, substring_dedup
+from packetloom.llm.words import slices
 from tests.llm.test_text_operators import brute_components, brute_passages, by_row
 
 
@@ -51,3 +53,64 @@ def test_operators_on_frames_cut_by_bytes(spark, tmp_path, limit):
         assert by_row(jaccard_join.jaccard_components(docs).collect()) == brute_components(rows)
     finally:
         spark.conf.unset(name)
+
+
+def near_rows(pick, groups):
+    rows = []
+    for g in range(groups):
+        words = [f"g{g}w{pick.randrange(200)}" for _ in range(pick.randint(5, 60))]
+        for _ in range(pick.randint(2, 9)):
+            words = [*words]
+            for _ in range(pick.choice([0, 1, 1, 2])):
+                words.insert(pick.randrange(len(words)), f"g{g}x{pick.randrange(200)}")
+            rows.append(" ".join(words))
+    pick.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_frequencies_and_links_hold_across_batches(spark, monkeypatch):
+    monkeypatch.setattr(exchange, "BATCH_BYTES", 4000)
+    rows = near_rows(random.Random(5), 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).cache()
+    want = Counter()
+    for _, text in rows:
+        (own,) = jaccard_join.shingle_sets(next(slices(pa.array([text])))[1], 4)
+        want.update(own.tolist())
+    how = exchange.plan(docs, "text")
+    keys_of = jaccard_join._keys(4)
+    answers = exchange.answer(exchange.ask(docs, "text", keys_of, how, 6), 6, signatures=False)
+
+    def told(batch, answers):
+        keys, often = exchange.shared(keys_of(batch.column("text"))[0], answers, how.parts, 6)
+        return pa.table({"key": keys.view("int64"), "often": pa.array(often.astype("int64"))})
+
+    met = exchange.meet(docs, "text", answers, told, how, "key long, often long").collect()
+    assert len({r.b for r in answers.select("b").collect()}) > 9
+    assert {(r.key % 2**64, r.often) for r in met} == {(k, n) for k, n in want.items() if n > 1}
+    assert by_row(jaccard_join.jaccard_components(docs).collect()) == brute_components(rows)
+
+
+def test_rows_without_a_doc_id_or_with_a_repeated_one_are_documents(spark):
+    def text(name, *edits):
+        return " ".join(f"{name}{i}x" if i in edits else f"{name}{i}" for i in range(100))
+
+    rows = [(3, text("a", 10)), (None, text("a", 10, 40)), (1, text("a", 10, 40, 70)), (2, text("a", 10, 40, 70, 90)),
+            (6, text("b")), (7, text("b", 5)), (7, text("c")), (9, text("c", 5)), (8, text("d")), (None, text("d"))]
+    docs = jaccard_join.settled(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = by_row(jaccard_join.jaccard_components(docs, percent=92).collect())
+    assert got == by_row([(3, 97, 1), (None, 97, None), (1, 97, 1), (2, 97, 1), (6, 97, 6), (7, 97, 6), (7, 97, 7),
+                          (9, 97, 7), (8, 97, 8), (None, 97, None)])
+
+
+def test_shingles_keep_64_bits():
+    (own,) = jaccard_join.shingle_sets(next(slices(pa.array([" ".join(map(str, range(500)))])))[1], 4)
+    assert len(own) == 497 and (own >> 48).any()
+
+
+def test_chains_in_any_order_take_few_rounds(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(components, "settled", lambda df: calls.append(1) or jaccard_join.settled(df))
+    nodes = random.Random(3).sample(range(10**9), 600)
+    links = spark.createDataFrame(list(zip(nodes, nodes[1:], strict=False)), "x long, y long")
+    assert {tuple(r) for r in components.components(links).collect()} == {(n, min(nodes)) for n in nodes}
+    assert len(calls) < 20
