@@ -196,9 +196,12 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     low = linked.join(lowest, "component").select(F.col("node").alias("rep"), "low")
     group = reps.select("rep", "id").join(low, "rep", "left").select(
         F.col("rep").alias("same"), F.coalesce("low", "id").alias("component"))
-    return found.select("doc_id", "n", "same").join(group, "same", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(
-            F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    # sets without anything in common with others are not dealt out, all of them under one null
+    rows = found.select("doc_id", "n", "same")
+    named = rows.where("same is not null").join(group, "same", "left").drop("same").union(
+        rows.where("same is null").select("doc_id", "n", F.lit(None).cast("long")))
+    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(
+        F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
