@@ -19,8 +19,8 @@ ZERO_RUNS = [":0" * run + ":" for run in range(8, 1, -1)]
 
 
 def _let(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
+    """``use(value)`` with the value computed once, see ``sql_let``."""
+    return F.aggregate(F.array(), value, lambda same, _: same, use)
 
 
 def _colon_groups(raw: Column) -> Column:

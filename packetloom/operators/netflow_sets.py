@@ -26,8 +26,12 @@ def sql_uint(pos: str, size: int, buf: str = "payload") -> str:
 
 
 def sql_let(name: str, value: str, body: str) -> str:
-    """``body`` with ``name`` bound to ``value``, computed once per evaluation."""
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
+    """``body`` with ``name`` bound to ``value``, computed once per evaluation.
+
+    A fold over nothing, as its finish binds the value. ``get(transform(array(value), ..), 0)`` would ask for its own type at
+    every evaluation, and the type of a nested one asks twice for that of the next: time doubles with each level.
+    """
+    return f"aggregate(array(), {value}, (_same, _none) -> _same, {name} -> {body})"
 
 
 def sql_empty(element_type: str) -> str:
