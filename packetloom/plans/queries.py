@@ -579,15 +579,17 @@ def _(spark, sf_dir):
     CAST(sum(CASE WHEN sk % 5 = 0 THEN 0 ELSE (n + 23) // 24 END) + 2 AS BIGINT) AS packets FROM sent GROUP BY 1
     UNION ALL SELECT {EXPORTER}, 5, CAST(sum((n + 23) // 24) AS BIGINT) FROM sent GROUP BY 1""")
 def _(spark, sf_dir):
-    return health.netflow_packets(resolve(rt.netflow_packets(spark, sf_dir, 9, missing=True)),
-                                  netflow5.read_headers(rt.v5_packets(spark, sf_dir)))
+    rows = rt.settled_rows(spark, sf_dir)
+    return health.netflow_packets(resolve(rt.netflow_packets(spark, sf_dir, 9, missing=True, rows=rows)),
+                                  netflow5.read_headers(rt.v5_packets(spark, sf_dir, rows=rows)))
 
 
 @register("health_nf_errors", f"""{LI}{PACKETS_SQL.format(per=24)} SELECT {EXPORTER} AS router, 'template_not_found' AS error,
     CAST(sum((n + 23) // 24) AS BIGINT) AS packets FROM sent WHERE sk % 5 = 0 GROUP BY 1""")
 def _(spark, sf_dir):
-    return health.netflow_errors(resolve(rt.netflow_packets(spark, sf_dir, 9, missing=True)),
-                                 netflow5.read_headers(rt.v5_packets(spark, sf_dir)))
+    rows = rt.settled_rows(spark, sf_dir)
+    return health.netflow_errors(resolve(rt.netflow_packets(spark, sf_dir, 9, missing=True, rows=rows)),
+                                 netflow5.read_headers(rt.v5_packets(spark, sf_dir, rows=rows)))
 
 
 @register("health_nf_sets", f"""{LI}{PACKETS_SQL.format(per=24)}, per_router AS (SELECT {EXPORTER} AS router,
