@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from packetloom.functions.text import ip_text
 from packetloom.operators.netflow_state import record_count
@@ -15,13 +15,14 @@ from packetloom.sources.packets import CHANNEL_PORT, router_key
 QUANTILES = (50, 90, 99)
 
 
-def _summary(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+def _summary(rows: DataFrame, keys: list[str], value: str, shown: dict[str, Column] | None = None) -> DataFrame:
     """Exact sum, count and discrete quantiles of ``value`` per ``keys``.
 
     Equal values are counted first, map-side, so what is ordered per key is its distinct values (datagram sizes, whole
-    seconds), however many rows it has.
+    seconds), however many rows it has. ``shown`` replaces keys by what they are shown as, behind the counting.
     """
-    counts = rows.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c")).where("v is not null")
+    counts = rows.groupBy(*keys, F.col(value).alias("v")).agg(F.count("*").alias("c")).where("v is not null").withColumns(
+        shown or {})
     upto = W.partitionBy(*keys).orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     ranked = counts.select(*keys, "v", "c", F.sum("c").over(upto).alias("r"), F.sum("c").over(W.partitionBy(*keys)).alias("n"))
     return ranked.groupBy(*keys).agg(
@@ -99,10 +100,10 @@ def netflow_sets(resolved: DataFrame, v5_headers: DataFrame | None = None, compa
 def delay(flows: DataFrame) -> DataFrame:
     """Seconds between the end of a v9 / IPFIX flow and its receipt; negative under clock skew."""
     rows = flows.where(F.col("Type").isin(NETFLOW_V9, IPFIX)).select(
-        ip_text(F.col("SamplerAddress")).alias("router"),
+        F.col("SamplerAddress").alias("router"),
         F.when(F.col("Type") == NETFLOW_V9, 9).otherwise(10).alias("version"),
         (F.col("TimeReceived") - F.col("TimeFlowEnd")).alias("delay"))
-    return _summary(rows, ["router", "version"], "delay").select(
+    return _summary(rows, ["router", "version"], "delay", {"router": ip_text(F.col("router"))}).select(
         "router", "version", "quantiles", F.col("sum").alias("delay_sum"), F.col("count").alias("flows"))
 
 
