@@ -19,7 +19,7 @@ from packetloom.operators.netflow_sets import data_sets, frame, options_template
 from packetloom.operators.netflow_state import sampling_changes
 from packetloom.operators.sflow_flows import flows_from_sflow
 from packetloom.plans import roundtrip as rt
-from packetloom.plans.tables import fresh_folder
+from packetloom.plans.tables import fresh_folder, where_once
 from packetloom.plans.union import ERRORS, errors_of, flows_of, with_live_counts
 from packetloom.schema import FLOW_KIND
 from packetloom.sources.packets import read_packets
@@ -336,7 +336,7 @@ def _(spark, sf_dir):
     CASE WHEN ln > 1 THEN array_to_string(list_transform(range(1, ln), lambda i: {DST_AS} + i), ' ') ELSE '' END AS path,
     concat(ln, ' ', pk % 1000) AS communities, {big('100')} AS local_pref FROM li""")
 def _(spark, sf_dir):
-    rows = sflow.flow_records(sf_samples(spark, sf_dir, [rt.gateway_hex()])).where("gateway IS NOT NULL")
+    rows = where_once(sflow.flow_records(sf_samples(spark, sf_dir, [rt.gateway_hex()])), F.col("gateway").isNotNull())
     return rows.select(
         ip_text(F.col("gateway.next_hop")).alias("next_hop"), F.col("gateway.as").alias("own_as"),
         F.col("gateway.src_as").alias("src_as"), F.array_join(F.col("gateway.as_path").cast("array<string>"), " ").alias("path"),
