@@ -25,8 +25,9 @@ def _let(value: Column, use) -> Column:
 
 def _colon_groups(raw: Column) -> Column:
     """RFC 5952 text: lower-case groups, the first longest run of two or more zero groups as ``::``."""
-    groups = F.transform(F.sequence(F.lit(0), F.lit(7)),
-                         lambda i: F.lower(F.conv(F.hex(span(raw, i * 2, 2)), 16, 16)))
+    # a colon before every four digits, then up to three zeros behind each colon go
+    parted = F.regexp_replace(F.lower(F.hex(raw)), "(.{4})", ":$1")
+    groups = F.regexp_replace(parted, ":0{1,3}", ":")
 
     def shorten(fenced):
         def cut(run):
@@ -37,7 +38,7 @@ def _colon_groups(raw: Column) -> Column:
         runs = F.array(*[F.lit(z) for z in ZERO_RUNS])
         return _let(F.get(F.filter(runs, lambda z: F.instr(fenced, z) > 0), 0), cut)
 
-    return _let(F.concat(F.lit(":"), F.array_join(groups, ":"), F.lit(":")), shorten)
+    return _let(F.concat(groups, F.lit(":")), shorten)
 
 
 def ip_text(raw: Column) -> Column:
